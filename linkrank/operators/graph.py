@@ -26,6 +26,11 @@ def link_pairs(linked: DataFrame) -> DataFrame:
     return linked.select(F.col("title").alias("src"), F.explode("links").alias("dst"))
 
 
+def existing_pages(pages: DataFrame) -> DataFrame:
+    """``page``: the distinct titles of pages that exist."""
+    return pages.select(F.col("title").alias("page")).distinct()
+
+
 def page_nodes(linked: DataFrame) -> DataFrame:
     """Existing pages with the number of records and of link pairs behind each."""
     return linked.groupBy(F.col("title").alias("page")).agg(

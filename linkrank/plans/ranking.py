@@ -74,7 +74,7 @@ def graph_from_pairs(
     hot_targets = estimated_hot_keys(pairs, "dst", size.links, limit)
     hot_sources = hot_keys(nodes, "page", "links", limit) if size.longest > limit else None
     if hot_sources is not None:
-        hot_sources = hot_sources.withColumnRenamed("page", "src")
+        hot_sources = ws.save(hot_sources.withColumnRenamed("page", "src"), "hot_sources")
 
     edges = salted(g.existing_links(links, nodes, hot_targets), hot_sources, "src", F.col("dst"))
     with shuffled_into(ws.spark, tasks):

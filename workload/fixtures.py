@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # One XML record per document. {text_type} is STRING here and VARCHAR in the oracle.
@@ -53,5 +53,10 @@ def part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
-def _part_title(key: str):
+def listed_pairs(pairs: DataFrame, listed: DataFrame) -> DataFrame:
+    """Pairs whose source has a page."""
+    return pairs.join(listed.select(F.col("page").alias("src")), "src", "left_semi")
+
+
+def _part_title(key: str) -> Column:
     return F.concat(F.lit("Part_"), F.col(key).cast("string"))
