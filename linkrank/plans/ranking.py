@@ -43,22 +43,39 @@ class Layout:
     steps_per_write: int = STEPS_PER_WRITE
 
 
-def graph_from_pages(
-    ws: Workspace, pages: DataFrame, layout: Layout = Layout()
-) -> r.RankGraph:
+@dataclass(frozen=True)
+class LinkGraph:
+    """Written tables ``edges(src, dst, copies)`` and ``nodes(page, records, links)``."""
+
+    edges: DataFrame
+    nodes: DataFrame
+    n: int
+    hot_sources: DataFrame | None
+    buckets: int
+    tasks: int
+
+
+def link_graph_from_pages(
+    ws: Workspace, pages: DataFrame, layout: Layout = Layout(), by_source: bool = False
+) -> LinkGraph:
     """Pages to graph. The markup is read once; all later steps read the link table."""
     linked = ws.save(page_links(pages).select("title", "links"), "linked")
     nodes = ws.save(g.page_nodes(linked), "nodes")
-    return graph_from_pairs(ws, g.link_pairs(linked), nodes, layout)
+    return link_graph_from_pairs(ws, g.link_pairs(linked), nodes, layout, by_source)
 
 
-def graph_from_pairs(
-    ws: Workspace, pairs: DataFrame, nodes: DataFrame, layout: Layout = Layout()
-) -> r.RankGraph:
+def link_graph_from_pairs(
+    ws: Workspace,
+    pairs: DataFrame,
+    nodes: DataFrame,
+    layout: Layout = Layout(),
+    by_source: bool = False,
+) -> LinkGraph:
     """Link pairs and ``nodes(page, records, links)`` to graph.
 
     Every ``src`` must be a page; pairs may only repeat where a page has several
-    records. Pass written tables: both are read more than once.
+    records. Pass written tables: both are read more than once. ``by_source`` lays the
+    edges out for the iterations, which costs a shuffle.
     """
     size = nodes.agg(
         F.count(F.lit(1)).alias("n"),
@@ -67,20 +84,44 @@ def graph_from_pairs(
         F.coalesce(F.max("links"), F.lit(0)).alias("longest"),
     ).first()
     tasks = max(shuffle_tasks(ws.spark), math.ceil(size.links / layout.task_links))
-    buckets = tasks if size.links >= layout.bucket_links else 0
     limit = hot_limit(size.links, tasks, layout.hot_rows)
 
     links = g.merge_copies(pairs) if size.records > 1 else g.single_copies(pairs)
     hot_targets = estimated_hot_keys(pairs, "dst", size.links, limit)
-    hot_sources = hot_keys(nodes, "page", "links", limit) if size.longest > limit else None
-    if hot_sources is not None:
-        hot_sources = ws.save(hot_sources.withColumnRenamed("page", "src"), "hot_sources")
-
-    edges = salted(g.existing_links(links, nodes, hot_targets), hot_sources, "src", F.col("dst"))
+    edges = g.existing_links(links, nodes, hot_targets)
+
+    buckets, hot_sources = 0, None
+    if by_source and size.links >= layout.bucket_links:
+        buckets = tasks
+        if size.longest > limit:
+            hot = hot_keys(nodes, "page", "links", limit).withColumnRenamed("page", "src")
+            hot_sources = ws.save(hot, "hot_sources")
+            edges = salted(edges, hot_sources, "src", F.col("dst"))
     with shuffled_into(ws.spark, tasks):
         edges = ws.save_by(edges, "edges", join_keys(hot_sources, "src"), buckets)
-        pages = ws.save_by(g.page_degrees(nodes, edges), "pages", ["page"], buckets)
-    return r.RankGraph(edges, pages, size.n, hot_sources, buckets, tasks)
+    return LinkGraph(edges, nodes, size.n, hot_sources, buckets, tasks)
+
+
+def rank_graph(ws: Workspace, graph: LinkGraph) -> r.RankGraph:
+    """Add the page table with degrees, laid out as the edges are."""
+    with shuffled_into(ws.spark, graph.tasks):
+        pages = g.page_degrees(graph.nodes, graph.edges)
+        pages = ws.save_by(pages, "pages", ["page"], graph.buckets)
+    return r.RankGraph(
+        graph.edges, pages, graph.n, graph.hot_sources, graph.buckets, graph.tasks
+    )
+
+
+def graph_from_pages(ws: Workspace, pages: DataFrame, layout: Layout = Layout()) -> r.RankGraph:
+    """Pages to the graph the iterations run on."""
+    return rank_graph(ws, link_graph_from_pages(ws, pages, layout, by_source=True))
+
+
+def graph_from_pairs(
+    ws: Workspace, pairs: DataFrame, nodes: DataFrame, layout: Layout = Layout()
+) -> r.RankGraph:
+    """Link pairs and nodes to the graph the iterations run on."""
+    return rank_graph(ws, link_graph_from_pairs(ws, pairs, nodes, layout, by_source=True))
 
 
 def rank_pages(

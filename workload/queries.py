@@ -13,8 +13,11 @@ from linkrank.operators.pages import page_links, parse_pages
 from linkrank.operators.results import above_threshold, sorted_ranks
 from linkrank.plans.ranking import (
     ITERATIONS,
+    LinkGraph,
     graph_from_pages,
     graph_from_pairs,
+    link_graph_from_pages,
+    link_graph_from_pairs,
     rank_pages,
     snapshots,
 )
@@ -30,18 +33,26 @@ def _wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_pages(fx.wiki_records(spark, sf_dir))
 
 
+def _wiki_links(spark: SparkSession, sf_dir: str) -> LinkGraph:
+    return link_graph_from_pages(Workspace(spark), _wiki_pages(spark, sf_dir))
+
+
 def _wiki_graph(ws: Workspace, sf_dir: str) -> r.RankGraph:
     return graph_from_pages(ws, _wiki_pages(ws.spark, sf_dir))
 
 
-def _part_graph(ws: Workspace, sf_dir: str) -> r.RankGraph:
+def _part_tables(ws: Workspace, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     listed = fx.part_nodes(ws.spark, sf_dir)
     pairs = ws.save(fx.listed_pairs(fx.part_pairs(ws.spark, sf_dir), listed), "pairs")
     sent = pairs.groupBy(F.col("src").alias("page")).agg(F.count(F.lit(1)).alias("links"))
     nodes = listed.join(sent, "page", "left").select(
         "page", F.lit(1).alias("records"), F.coalesce("links", F.lit(0)).alias("links")
     )
-    return graph_from_pairs(ws, pairs, ws.save(nodes, "nodes"))
+    return pairs, ws.save(nodes, "nodes")
+
+
+def _part_graph(ws: Workspace, sf_dir: str) -> r.RankGraph:
+    return graph_from_pairs(ws, *_part_tables(ws, sf_dir))
 
 
 def _rounded(name: str) -> Column:
@@ -88,7 +99,7 @@ def wiki_nodes(spark, sf_dir):
 
 
 def wiki_edges(spark, sf_dir):
-    return _wiki_graph(Workspace(spark), sf_dir).edges.select("src", "dst", "copies")
+    return _wiki_links(spark, sf_dir).edges
 
 
 def wiki_red_links(spark, sf_dir):
@@ -105,18 +116,18 @@ def _joined(lists: DataFrame, name: str, count: str) -> DataFrame:
 
 
 def wiki_inlinks(spark, sf_dir):
-    graph = _wiki_graph(Workspace(spark), sf_dir)
-    return _joined(g.inlinks(graph.edges, graph.pages), "inlinks", "n_in")
+    graph = _wiki_links(spark, sf_dir)
+    return _joined(g.inlinks(graph.edges, graph.nodes), "inlinks", "n_in")
 
 
 def wiki_outlinks(spark, sf_dir):
-    graph = _wiki_graph(Workspace(spark), sf_dir)
-    return _joined(g.outlinks(graph.edges, graph.pages), "outlinks", "n_out")
+    graph = _wiki_links(spark, sf_dir)
+    return _joined(g.outlinks(graph.edges, graph.nodes), "outlinks", "n_out")
 
 
 def wiki_transpose(spark, sf_dir):
-    graph = _wiki_graph(Workspace(spark), sf_dir)
-    return g.transpose_inlinks(g.inlinks(graph.edges, graph.pages))
+    graph = _wiki_links(spark, sf_dir)
+    return g.transpose_inlinks(g.inlinks(graph.edges, graph.nodes))
 
 
 def page_count(spark, sf_dir):
@@ -125,11 +136,11 @@ def page_count(spark, sf_dir):
 
 
 def out_degree(spark, sf_dir):
-    return g.out_degree(_wiki_graph(Workspace(spark), sf_dir).edges)
+    return g.out_degree(_wiki_links(spark, sf_dir).edges)
 
 
 def in_degree(spark, sf_dir):
-    return g.in_degree(_wiki_graph(Workspace(spark), sf_dir).edges)
+    return g.in_degree(_wiki_links(spark, sf_dir).edges)
 
 
 # --- ranks ------------------------------------------------------------------
@@ -200,7 +211,8 @@ def top_ranked(spark, sf_dir):
 
 
 def parts_edges(spark, sf_dir):
-    return _part_graph(Workspace(spark), sf_dir).edges.select("src", "dst", "copies")
+    ws = Workspace(spark)
+    return link_graph_from_pairs(ws, *_part_tables(ws, sf_dir)).edges
 
 
 def parts_rank8(spark, sf_dir):
@@ -230,18 +242,16 @@ def xml_file_pages(spark, sf_dir):
 
 
 def outlink_text_round_trip(spark, sf_dir):
-    ws = Workspace(spark)
-    graph = _wiki_graph(ws, sf_dir)
-    path = ws.path("outlink.out")
-    sinks.write_outlinks(g.outlinks(graph.edges, graph.pages), path, format="text")
+    graph = _wiki_links(spark, sf_dir)
+    path = Workspace(spark).path("outlink.out")
+    sinks.write_outlinks(g.outlinks(graph.edges, graph.nodes), path, format="text")
     return _joined(sources.read_outlinks(spark, path, format="text"), "outlinks", "n_out")
 
 
 def inlink_text_round_trip(spark, sf_dir):
-    ws = Workspace(spark)
-    graph = _wiki_graph(ws, sf_dir)
-    path = ws.path("inlink.out")
-    sinks.write_inlinks(g.inlinks(graph.edges, graph.pages), path, format="text")
+    graph = _wiki_links(spark, sf_dir)
+    path = Workspace(spark).path("inlink.out")
+    sinks.write_inlinks(g.inlinks(graph.edges, graph.nodes), path, format="text")
     return _joined(sources.read_inlinks(spark, path, format="text"), "inlinks", "n_in")
 
 
@@ -266,11 +276,11 @@ def ranked_from_files(spark, sf_dir):
 def count_from_files(spark, sf_dir):
     """The published page count, read back beside the lines of the published graph."""
     ws = Workspace(spark)
-    graph = _wiki_graph(ws, sf_dir)
-    sinks.write_count(g.page_count(graph.pages), ws.path("n.out"))
-    n = sources.read_count(spark, ws.path("n.out"))
-    return graph.pages.agg(
-        F.count(F.lit(1)).alias("pages"), F.max(F.lit(n).cast("bigint")).alias("published")
+    config = Config(input=_dump(ws, sf_dir), output=ws.path("out"), iterations=1)
+    published = publish_ranking(spark, config)
+    lines = sources.read_outlinks(spark, published.outlinks, format="text")
+    return lines.agg(F.countDistinct("page").alias("pages")).withColumn(
+        "published", F.lit(sources.read_count(spark, published.count)).cast("bigint")
     )
 
 
