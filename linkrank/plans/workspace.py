@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -67,17 +68,24 @@ class Workspace:
         self.name = f"linkrank_{uuid.uuid4().hex}"
         self.folder = f"{folder or shared_folder(spark)}/{self.name}"
         self._tables: list[str] = []
+        self._saved: Counter[str] = Counter()
+
+    def _unused(self, name: str) -> str:
+        """A name for the next table: the workspace may serve several plans."""
+        self._saved[name] += 1
+        return f"{name}_v{self._saved[name]}"
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.path(name)
+        path = self.path(self._unused(name))
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def save_bucketed(self, df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
         """Hash-partition by ``keys`` and keep that layout: one sorted file per bucket."""
+        name = self._unused(name)
         table = f"{self.name}_{name}"
         (
             df.repartition(buckets, *keys)

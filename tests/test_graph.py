@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+from linkrank.operators import graph as g
+from linkrank.operators.pages import page_links, parse_pages
+from linkrank.plans.ranking import Layout, graph_from_pages, link_graph_from_pages
+from tests import brute
+
+RECORDS = [
+    ("A", "[[B]] [[B|again]] [[C]] [[A]] [[Missing]]"),
+    ("A", "[[B]] [[D d]]"),
+    ("B", "[[A]] [[NoBody]] [[Missing]]"),
+    ("C", ""),
+    ("D d", "[[A]] [[b]] [[D d]]"),
+    ("NoBody", None),
+    ("Lone", "[[Missing]] [[Other]]"),
+]
+
+
+def pages_of(spark, records):
+    rows = [(brute.page(title, body),) for title, body in records]
+    return parse_pages(spark.createDataFrame(rows, "xml string"))
+
+
+@pytest.fixture
+def links(spark, ws):
+    return link_graph_from_pages(ws, pages_of(spark, RECORDS))
+
+
+def test_edges_keep_one_copy_per_record(links):
+    nodes, edges = brute.graph(RECORDS)
+    found = {(row.src, row.dst): row.copies for row in links.edges.collect()}
+    assert found == dict(edges)
+    assert found["A", "B"] == 2
+    assert {row.page for row in links.nodes.collect()} == nodes
+    assert links.n == len(nodes) == g.page_count(links.nodes).first().n
+
+
+def test_nodes_count_records_and_links(links):
+    found = {row.page: (row.records, row.links) for row in links.nodes.collect()}
+    assert found["A"] == (2, 5) and found["C"] == (1, 0) and found["Lone"] == (1, 2)
+
+
+def test_existing_pages(spark):
+    pages = g.existing_pages(pages_of(spark, RECORDS))
+    assert sorted(row.page for row in pages.collect()) == ["A", "B", "C", "D_d", "Lone"]
+
+
+def test_red_links(spark, links):
+    pairs = g.link_pairs(page_links(pages_of(spark, RECORDS)))
+    found = {row.dst: row.n for row in g.red_links(pairs, links.nodes).collect()}
+    assert found == {"Missing": 3, "Other": 1, "NoBody": 1, "b": 1}
+
+
+def test_degrees(links):
+    assert {r.src: r.deg for r in g.out_degree(links.edges).collect()} == {"A": 4, "B": 1, "D_d": 1}
+    assert {r.dst: r.deg for r in g.in_degree(links.edges).collect()} == {
+        "A": 2,
+        "B": 2,
+        "C": 1,
+        "D_d": 1,
+    }
+    degrees = {r.page: r.deg for r in g.page_degrees(links.nodes, links.edges).collect()}
+    assert degrees == {"A": 4, "B": 1, "C": 0, "D_d": 1, "Lone": 0}
+
+
+def test_adjacency_lists_keep_unlinked_pages(links):
+    out = {row.page: row.outlinks for row in g.outlinks(links.edges, links.nodes).collect()}
+    assert out == {
+        "A": ["B", "B", "C", "D_d"],
+        "B": ["A"],
+        "C": [],
+        "D_d": ["A"],
+        "Lone": [],
+    }
+    parents = {row.page: row.inlinks for row in g.inlinks(links.edges, links.nodes).collect()}
+    assert parents == {
+        "A": ["B", "D_d"],
+        "B": ["A", "A"],
+        "C": ["A"],
+        "D_d": ["A"],
+        "Lone": [],
+    }
+
+
+def test_lists_and_edges_are_the_same_links(links):
+    edges = Counter({(r.src, r.dst): r.copies for r in links.edges.collect()})
+    transposed = g.transpose_inlinks(g.inlinks(links.edges, links.nodes))
+    assert Counter(tuple(row) for row in transposed.collect()) == edges
+    pairs = g.outlink_pairs(g.outlinks(links.edges, links.nodes))
+    assert Counter(tuple(row) for row in pairs.collect()) == edges
+
+
+@pytest.mark.parametrize("row_links", [1, 3, 50])
+def test_long_lists_continue_in_further_rows(spark, row_links):
+    rows = [("Hub", f"t{i}", 1) for i in range(400)] + [("Hub", "many", 333), ("x", "t1", 2)]
+    edges = spark.createDataFrame(rows, "src string, dst string, copies bigint")
+    nodes = spark.createDataFrame([("Hub",), ("x",), ("t1",)], "page string")
+    lists = g.outlinks(edges, nodes, row_links).collect()
+    found = Counter((row.page, link) for row in lists for link in row.outlinks)
+    assert found == Counter({(src, dst): copies for src, dst, copies in rows})
+    assert len({(row.page, row.part) for row in lists}) == len(lists)
+    hub = [len(row.outlinks) for row in lists if row.page == "Hub"]
+    assert len(hub) > 10 and max(hub) < 10 * row_links + 10
+    assert [row.outlinks for row in lists if row.page == "t1"] == [[]]
+
+
+@pytest.mark.parametrize("layout", [Layout(), Layout(hot_rows=2, bucket_links=0)])
+def test_empty_dump(spark, ws, layout):
+    graph = graph_from_pages(ws, pages_of(spark, [("NoBody", None)]), layout)
+    assert graph.n == 0 and graph.edges.count() == 0 and graph.pages.count() == 0
+    assert g.outlinks(graph.edges, graph.pages).count() == 0
+
+
+def test_pages_without_any_link(spark, ws):
+    graph = graph_from_pages(ws, pages_of(spark, [("A", "x"), ("B", "")]))
+    assert sorted((r.page, r.deg) for r in graph.pages.collect()) == [("A", 0), ("B", 0)]

@@ -1,0 +1,44 @@
+"""Every query against its SQL, at the smallest scale."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+DATA = Path("/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    connection = duckdb.connect()
+    for path in DATA.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def test_every_query_has_an_oracle():
+    assert entry.queries().keys() == entry.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_matches_its_sql(spark, oracle, name):
+    df = entry.queries()[name](spark, str(DATA))
+    columns = sorted(df.columns)
+    found = sorted(tuple(row[c] for c in columns) for row in df.collect())
+    result = oracle.execute(entry.oracle_sql()[name])
+    names = [column[0] for column in result.description]
+    assert sorted(names) == columns
+    order = [names.index(c) for c in columns]
+    assert found == sorted(tuple(row[i] for i in order) for row in result.fetchall())
+
+
+def test_entry_is_sorted(spark):
+    rows = entry.entry(spark).collect()
+    assert len(rows) == 185
+    assert [row.pr for row in rows] == sorted((row.pr for row in rows), reverse=True)
