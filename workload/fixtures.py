@@ -48,9 +48,11 @@ def part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct ``(src, dst)``: each order line links its part to the part numbered like
     its supplier. A few hundred hub targets, some of them not listed."""
     lines = table(spark, sf_dir, "lineitem").where(F.col("l_partkey") != F.col("l_suppkey"))
-    return lines.select(
-        _part_title("l_partkey").alias("src"), _part_title("l_suppkey").alias("dst")
-    ).distinct()
+    return (
+        lines.select("l_partkey", "l_suppkey")
+        .distinct()
+        .select(_part_title("l_partkey").alias("src"), _part_title("l_suppkey").alias("dst"))
+    )
 
 
 def listed_pairs(pairs: DataFrame, listed: DataFrame) -> DataFrame:
