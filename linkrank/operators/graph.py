@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.operators.skew import SHARES, hot_keys, join_keys, replicated, salted
+from linkrank.operators.skew import SALT, SHARES, hot_keys, join_keys, replicated, salted
 
 # Links in one adjacency row; a page with more continues in further rows.
 ROW_LINKS = 1_000_000
@@ -54,13 +54,36 @@ def single_copies(pairs: DataFrame) -> DataFrame:
     return pairs.select("src", "dst", F.lit(1).cast("bigint").alias("copies"))
 
 
+def numbered_pages(nodes: DataFrame) -> DataFrame:
+    """Add a distinct ``id`` per page. Write the table before use: that fixes the ids."""
+    return nodes.withColumn("id", F.monotonically_increasing_id())
+
+
 def existing_links(
     links: DataFrame, nodes: DataFrame, hot_targets: DataFrame | None = None
 ) -> DataFrame:
-    """Links whose target exists. Rows of ``hot_targets(dst, shares)`` spread over salts."""
+    """Links whose target exists. Rows of ``hot_targets(dst, shares)`` spread over salts.
+
+    Of numbered nodes the target's id comes along as ``dst_id``.
+    """
     left = salted(links, hot_targets, "dst", F.col("src"))
-    right = replicated(nodes.select(F.col("page").alias("dst")), hot_targets, "dst")
-    return left.join(right, join_keys(hot_targets, "dst"), "left_semi").select(*links.columns)
+    numbered = [F.col("id").alias("dst_id")] if "id" in nodes.columns else []
+    right = replicated(nodes.select(F.col("page").alias("dst"), *numbered), hot_targets, "dst")
+    # A page is one row, so the join that brings the id keeps the rows a semi join keeps.
+    how = "inner" if numbered else "left_semi"
+    return left.join(right, join_keys(hot_targets, "dst"), how).drop(SALT)
+
+
+def numbered_links(
+    edges: DataFrame, nodes: DataFrame, hot_sources: DataFrame | None = None
+) -> DataFrame:
+    """Edges between ids: ``(src, dst, copies)`` of ``edges(src, dst, copies, dst_id)``."""
+    left = salted(edges, hot_sources, "src", F.col("dst_id"))
+    ids = nodes.select(F.col("page").alias("src"), "id")
+    right = replicated(ids, hot_sources, "src")
+    return left.join(right, join_keys(hot_sources, "src")).select(
+        F.col("id").alias("src"), F.col("dst_id").alias("dst"), "copies"
+    )
 
 
 def red_links(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -83,10 +106,11 @@ def in_degree(edges: DataFrame) -> DataFrame:
 
 
 def page_degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(page, deg)`` for every page; 0 for a page without outlinks."""
+    """``(page, deg)`` for every page, 0 without outlinks; a title passes through."""
     degrees = out_degree(edges).withColumnRenamed("src", "page")
-    return nodes.select("page").join(degrees, "page", "left").select(
-        "page", F.coalesce("deg", F.lit(0).cast("bigint")).alias("deg")
+    others = [c for c in ("title",) if c in nodes.columns]
+    return nodes.join(degrees, "page", "left").select(
+        "page", F.coalesce("deg", F.lit(0).cast("bigint")).alias("deg"), *others
     )
 
 

@@ -22,9 +22,10 @@ BUILD_ROWS = 4_000_000
 class RankGraph:
     """Tables an iteration reads again and again.
 
-    ``edges(src, dst, copies)`` is laid out by ``src`` (and by salt when some sources
-    are hot), ``pages(page, deg)`` by ``page``. ``buckets`` is the number of buckets of
-    both, or 0 when the graph is too small to need them; shuffles use ``tasks``.
+    ``edges(src, dst, copies)`` and ``pages(page, deg)`` name pages by title. In a large
+    graph they name them by id, with ``title`` beside ``page``, and are bucketed: edges
+    by ``src`` (and by salt when some sources are hot), pages by ``page``. ``buckets``
+    is the number of buckets, 0 for a small graph; shuffles use ``tasks``.
     """
 
     edges: DataFrame
@@ -34,6 +35,18 @@ class RankGraph:
     buckets: int = 0
     tasks: int = 1
 
+    @property
+    def numbered(self) -> bool:
+        return "title" in self.pages.columns
+
+    def titled(self, state: DataFrame) -> DataFrame:
+        """``(page, pr)`` of a state, by title."""
+        if not self.numbered:
+            return state.select("page", "pr")
+        titles = self.pages.select("page", "title")
+        named = self.per_page(state.select("page", "pr")).join(titles, "page")
+        return named.select(F.col("title").alias("page"), "pr")
+
     def per_page(self, df: DataFrame) -> DataFrame:
         """A table with one row per page, as the build side of a partition-wise join.
 
@@ -46,12 +59,15 @@ class RankGraph:
 
 
 def init_ranks(pages: DataFrame, n: int) -> DataFrame:
-    return pages.withColumn("pr", score.initial_rank(n))
+    """The state before the first iteration."""
+    return pages.select("page", "deg", score.initial_rank(n).alias("pr"))
 
 
 def start_ranks(graph: RankGraph, ranks: DataFrame) -> DataFrame:
-    """State from ranks computed earlier."""
-    return graph.pages.join(ranks.select("page", "pr"), "page")
+    """The state that ranks computed earlier, by title, stand for."""
+    key = "title" if graph.numbered else "page"
+    known = ranks.select(F.col("page").alias(key), "pr")
+    return graph.pages.join(known, key).select("page", "deg", "pr")
 
 
 def contributions(graph: RankGraph, state: DataFrame) -> DataFrame:

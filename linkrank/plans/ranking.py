@@ -13,7 +13,6 @@ from linkrank.functions.score import DAMPING
 from linkrank.operators import graph as g
 from linkrank.operators import ranks as r
 from linkrank.operators.pages import page_links
-from linkrank.operators.results import page_ranks
 from linkrank.operators.skew import (
     HOT_ROWS,
     estimated_hot_keys,
@@ -45,38 +44,39 @@ class Layout:
 
 @dataclass(frozen=True)
 class LinkGraph:
-    """Written tables ``edges(src, dst, copies)`` and ``nodes(page, records, links)``."""
+    """Written tables ``edges(src, dst, copies, dst_id)`` and
+    ``nodes(page, records, links, id)``, both by title.
+
+    ``limit`` is the number of rows a key may hold before it is split, ``longest`` the
+    largest number of links behind one source, red ones included.
+    """
 
     edges: DataFrame
     nodes: DataFrame
     n: int
-    hot_sources: DataFrame | None
-    buckets: int
+    links: int
+    longest: int
+    limit: int
     tasks: int
 
 
 def link_graph_from_pages(
-    ws: Workspace, pages: DataFrame, layout: Layout = Layout(), by_source: bool = False
+    ws: Workspace, pages: DataFrame, layout: Layout = Layout()
 ) -> LinkGraph:
     """Pages to graph. The markup is read once; all later steps read the link table."""
     linked = ws.save(page_links(pages).select("title", "links"), "linked")
-    nodes = ws.save(g.page_nodes(linked), "nodes")
-    return link_graph_from_pairs(ws, g.link_pairs(linked), nodes, layout, by_source)
+    return link_graph_from_pairs(ws, g.link_pairs(linked), g.page_nodes(linked), layout)
 
 
 def link_graph_from_pairs(
-    ws: Workspace,
-    pairs: DataFrame,
-    nodes: DataFrame,
-    layout: Layout = Layout(),
-    by_source: bool = False,
+    ws: Workspace, pairs: DataFrame, nodes: DataFrame, layout: Layout = Layout()
 ) -> LinkGraph:
     """Link pairs and ``nodes(page, records, links)`` to graph.
 
     Every ``src`` must be a page; pairs may only repeat where a page has several
-    records. Pass written tables: both are read more than once. ``by_source`` lays the
-    edges out for the iterations, which costs a shuffle.
+    records. Pass pairs of a written table: they may be read twice.
     """
+    nodes = ws.save(g.numbered_pages(nodes), "nodes")
     size = nodes.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.max("records"), F.lit(0)).alias("records"),
@@ -88,40 +88,54 @@ def link_graph_from_pairs(
 
     links = g.merge_copies(pairs) if size.records > 1 else g.single_copies(pairs)
     hot_targets = estimated_hot_keys(pairs, "dst", size.links, limit)
-    edges = g.existing_links(links, nodes, hot_targets)
-
-    buckets, hot_sources = 0, None
-    if by_source and size.links >= layout.bucket_links:
-        buckets = tasks
-        if size.longest > limit:
-            hot = hot_keys(nodes, "page", "links", limit).withColumnRenamed("page", "src")
-            hot_sources = ws.save(hot, "hot_sources")
-            edges = salted(edges, hot_sources, "src", F.col("dst"))
     with shuffled_into(ws.spark, tasks):
-        edges = ws.save_by(edges, "edges", join_keys(hot_sources, "src"), buckets)
-    return LinkGraph(edges, nodes, size.n, hot_sources, buckets, tasks)
+        edges = ws.save(g.existing_links(links, nodes, hot_targets), "edges")
+    return LinkGraph(edges, nodes, size.n, size.links, size.longest, limit, tasks)
+
 
+def rank_graph(
+    ws: Workspace, graph: LinkGraph, layout: Layout = Layout(), by_title: bool = False
+) -> r.RankGraph:
+    """Lay the graph out for iterations.
 
-def rank_graph(ws: Workspace, graph: LinkGraph) -> r.RankGraph:
-    """Add the page table with degrees, laid out as the edges are."""
+    A large graph is numbered and bucketed: each iteration then shuffles an id and a
+    number per link instead of a title, and shuffles the edges themselves never.
+    ``by_title`` keeps titles, for those who read the steps and not only the ranks.
+    """
+    nodes, hot = graph.nodes, None
+    if graph.longest > graph.limit:
+        hot = hot_keys(nodes, "page", "links", graph.limit).withColumnRenamed("page", "src")
+        hot = ws.save(hot, "hot_sources")
+
+    if by_title or graph.links < layout.bucket_links:
+        edges = salted(graph.edges.drop("dst_id"), hot, "src", F.col("dst"))
+        with shuffled_into(ws.spark, graph.tasks):
+            pages = ws.save(g.page_degrees(nodes, edges), "pages")
+        return r.RankGraph(edges, pages, graph.n, hot, 0, graph.tasks)
+
+    buckets = graph.tasks
+    edges = g.numbered_links(graph.edges, nodes, hot)
+    if hot is not None:
+        ids = nodes.select(F.col("page").alias("src"), "id").join(F.broadcast(hot), "src")
+        hot = ws.save(ids.select(F.col("id").alias("src"), "shares"), "hot_ids")
+        edges = salted(edges, hot, "src", F.col("dst"))
     with shuffled_into(ws.spark, graph.tasks):
-        pages = g.page_degrees(graph.nodes, graph.edges)
-        pages = ws.save_by(pages, "pages", ["page"], graph.buckets)
-    return r.RankGraph(
-        graph.edges, pages, graph.n, graph.hot_sources, graph.buckets, graph.tasks
-    )
+        edges = ws.save_bucketed(edges, "edges_by_source", join_keys(hot, "src"), buckets)
+        titles = nodes.select(F.col("id").alias("page"), F.col("page").alias("title"))
+        pages = ws.save_bucketed(g.page_degrees(titles, edges), "pages", ["page"], buckets)
+    return r.RankGraph(edges, pages, graph.n, hot, buckets, graph.tasks)
 
 
 def graph_from_pages(ws: Workspace, pages: DataFrame, layout: Layout = Layout()) -> r.RankGraph:
     """Pages to the graph the iterations run on."""
-    return rank_graph(ws, link_graph_from_pages(ws, pages, layout, by_source=True))
+    return rank_graph(ws, link_graph_from_pages(ws, pages, layout), layout)
 
 
 def graph_from_pairs(
     ws: Workspace, pairs: DataFrame, nodes: DataFrame, layout: Layout = Layout()
 ) -> r.RankGraph:
     """Link pairs and nodes to the graph the iterations run on."""
-    return rank_graph(ws, link_graph_from_pairs(ws, pairs, nodes, layout, by_source=True))
+    return rank_graph(ws, link_graph_from_pairs(ws, pairs, nodes, layout), layout)
 
 
 def rank_pages(
@@ -151,7 +165,7 @@ def rank_pages(
                 state = ws.save_by(state, f"ranks_{i}", ["page"], graph.buckets)
             planned = 0
         if i in keep or i == iterations:
-            kept[i] = page_ranks(state)
+            kept[i] = graph.titled(state)
     return kept
 
 

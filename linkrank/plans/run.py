@@ -11,7 +11,13 @@ from linkrank.functions.score import DAMPING
 from linkrank.operators import graph as g
 from linkrank.operators.pages import parse_pages
 from linkrank.operators.results import THRESHOLD_FACTOR, above_threshold
-from linkrank.plans.ranking import ITERATIONS, Layout, graph_from_pages, rank_pages
+from linkrank.plans.ranking import (
+    ITERATIONS,
+    Layout,
+    link_graph_from_pages,
+    rank_graph,
+    rank_pages,
+)
 from linkrank.plans.workspace import Workspace
 from linkrank.sources import read_pages
 from linkrank.sources.dump import END_TAG, START_TAG
@@ -56,22 +62,23 @@ def publish_ranking(spark: SparkSession, config: Config) -> Published:
     results = f"{config.output.rstrip('/')}/results"
 
     records = read_pages(spark, config.input, config.start_tag, config.end_tag)
-    graph = graph_from_pages(ws, parse_pages(records), config.layout)
+    links = link_graph_from_pages(ws, parse_pages(records), config.layout)
 
     published = Published(
         outlinks=f"{results}/outlink.out",
         count=f"{results}/n.out",
         ranks={i: f"{results}/iter{i}.out" for i in sorted({1, config.iterations})},
-        n=graph.n,
+        n=links.n,
         inlinks=f"{results}/inlink.out" if config.write_inlinks else None,
     )
-    lists = g.outlinks(graph.edges, graph.pages)
+    lists = g.outlinks(links.edges, links.nodes)
     sinks.write_outlinks(lists, published.outlinks, config.graph_format, config.single_file)
     if published.inlinks:
-        parents = g.inlinks(graph.edges, graph.pages)
+        parents = g.inlinks(links.edges, links.nodes)
         sinks.write_inlinks(parents, published.inlinks, config.graph_format, config.single_file)
-    sinks.write_count(g.page_count(graph.pages), published.count)
+    sinks.write_count(g.page_count(links.nodes), published.count)
 
+    graph = rank_graph(ws, links, config.layout)
     kept = rank_pages(
         ws, graph, config.iterations, config.damping, keep=(1,), layout=config.layout
     )

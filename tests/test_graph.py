@@ -6,7 +6,7 @@ import pytest
 
 from linkrank.operators import graph as g
 from linkrank.operators.pages import page_links, parse_pages
-from linkrank.plans.ranking import Layout, graph_from_pages, link_graph_from_pages
+from linkrank.plans.ranking import Layout, graph_from_pages, link_graph_from_pages, rank_graph
 from tests import brute
 
 RECORDS = [
@@ -110,9 +110,10 @@ def test_long_lists_continue_in_further_rows(spark, row_links):
 
 @pytest.mark.parametrize("layout", [Layout(), Layout(hot_rows=2, bucket_links=0)])
 def test_empty_dump(spark, ws, layout):
-    graph = graph_from_pages(ws, pages_of(spark, [("NoBody", None)]), layout)
+    links = link_graph_from_pages(ws, pages_of(spark, [("NoBody", None)]), layout)
+    assert g.outlinks(links.edges, links.nodes).count() == 0
+    graph = rank_graph(ws, links, layout)
     assert graph.n == 0 and graph.edges.count() == 0 and graph.pages.count() == 0
-    assert g.outlinks(graph.edges, graph.pages).count() == 0
 
 
 def test_pages_without_any_link(spark, ws):

@@ -13,6 +13,8 @@ from linkrank.plans.ranking import (
     Layout,
     graph_from_pages,
     graph_from_pairs,
+    link_graph_from_pages,
+    rank_graph,
     rank_pages,
     snapshots,
 )
@@ -35,6 +37,7 @@ GOLDEN_RANKS = {
 PLAIN = Layout()
 BUCKETED = Layout(bucket_links=0)
 SALTED = Layout(hot_rows=20, bucket_links=0, task_links=50)
+SALTED_TITLES = Layout(hot_rows=20, task_links=50)
 
 
 def as_dict(ranks):
@@ -94,13 +97,19 @@ def records():
     return random_records(250, 8, seed=3)
 
 
-@pytest.mark.parametrize("layout", [PLAIN, BUCKETED, SALTED], ids=["plain", "bucketed", "salted"])
+@pytest.mark.parametrize(
+    "layout",
+    [PLAIN, BUCKETED, SALTED, SALTED_TITLES],
+    ids=["plain", "bucketed", "salted", "salted titles"],
+)
 def test_layouts_agree_with_brute_force(spark, ws, records, layout):
-    graph = graph_from_pages(ws, pages_of(spark, records), layout)
-    assert (graph.hot_sources is not None) == (layout is SALTED)
-    assert (graph.buckets > 0) == (layout is not PLAIN)
+    links = link_graph_from_pages(ws, pages_of(spark, records), layout)
+    graph = rank_graph(ws, links, layout)
+    assert (graph.hot_sources is not None) == (layout in (SALTED, SALTED_TITLES))
+    assert graph.numbered == (graph.buckets > 0) == (layout in (BUCKETED, SALTED))
     pages, edges = brute.graph(records)
-    assert {(x.src, x.dst): x.copies for x in graph.edges.collect()} == dict(edges)
+    assert {(x.src, x.dst): x.copies for x in links.edges.collect()} == dict(edges)
+    assert graph.edges.count() == len(edges)
     kept = rank_pages(ws, graph, keep=(1,), layout=layout)
     for i in (1, 8):
         assert as_dict(kept[i]) == pytest.approx(brute.ranks(pages, edges, i), rel=1e-12)
@@ -168,10 +177,10 @@ def test_threshold_is_inclusive_and_order_descends(spark):
 
 
 def test_rank_matrix_with_split_lists(spark, ws, records):
-    graph = graph_from_pages(ws, pages_of(spark, records))
-    ranks = rank_pages(ws, graph, 1)[1]
+    links = link_graph_from_pages(ws, pages_of(spark, records))
+    ranks = rank_pages(ws, rank_graph(ws, links), 1)[1]
     expected = as_dict(ranks)
-    lists = ws.save(g.outlinks(graph.edges, graph.pages, row_links=10), "lists")
+    lists = ws.save(g.outlinks(links.edges, links.nodes, row_links=10), "lists")
     rows = r.rank_matrix(ranks, lists).collect()
-    assert len(rows) == lists.count() > graph.n
+    assert len(rows) == lists.count() > links.n
     assert all(row.pr == expected[row.page] for row in rows)

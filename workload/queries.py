@@ -18,6 +18,7 @@ from linkrank.plans.ranking import (
     graph_from_pairs,
     link_graph_from_pages,
     link_graph_from_pairs,
+    rank_graph,
     rank_pages,
     snapshots,
 )
@@ -33,8 +34,8 @@ def _wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_pages(fx.wiki_records(spark, sf_dir))
 
 
-def _wiki_links(spark: SparkSession, sf_dir: str) -> LinkGraph:
-    return link_graph_from_pages(Workspace(spark), _wiki_pages(spark, sf_dir))
+def _wiki_links(ws: Workspace, sf_dir: str) -> LinkGraph:
+    return link_graph_from_pages(ws, _wiki_pages(ws.spark, sf_dir))
 
 
 def _wiki_graph(ws: Workspace, sf_dir: str) -> r.RankGraph:
@@ -48,7 +49,7 @@ def _part_tables(ws: Workspace, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     nodes = listed.join(sent, "page", "left").select(
         "page", F.lit(1).alias("records"), F.coalesce("links", F.lit(0)).alias("links")
     )
-    return pairs, ws.save(nodes, "nodes")
+    return pairs, nodes
 
 
 def _part_graph(ws: Workspace, sf_dir: str) -> r.RankGraph:
@@ -99,7 +100,7 @@ def wiki_nodes(spark, sf_dir):
 
 
 def wiki_edges(spark, sf_dir):
-    return _wiki_links(spark, sf_dir).edges
+    return _wiki_links(Workspace(spark), sf_dir).edges.select("src", "dst", "copies")
 
 
 def wiki_red_links(spark, sf_dir):
@@ -116,17 +117,17 @@ def _joined(lists: DataFrame, name: str, count: str) -> DataFrame:
 
 
 def wiki_inlinks(spark, sf_dir):
-    graph = _wiki_links(spark, sf_dir)
+    graph = _wiki_links(Workspace(spark), sf_dir)
     return _joined(g.inlinks(graph.edges, graph.nodes), "inlinks", "n_in")
 
 
 def wiki_outlinks(spark, sf_dir):
-    graph = _wiki_links(spark, sf_dir)
+    graph = _wiki_links(Workspace(spark), sf_dir)
     return _joined(g.outlinks(graph.edges, graph.nodes), "outlinks", "n_out")
 
 
 def wiki_transpose(spark, sf_dir):
-    graph = _wiki_links(spark, sf_dir)
+    graph = _wiki_links(Workspace(spark), sf_dir)
     return g.transpose_inlinks(g.inlinks(graph.edges, graph.nodes))
 
 
@@ -136,23 +137,25 @@ def page_count(spark, sf_dir):
 
 
 def out_degree(spark, sf_dir):
-    return g.out_degree(_wiki_links(spark, sf_dir).edges)
+    return g.out_degree(_wiki_links(Workspace(spark), sf_dir).edges)
 
 
 def in_degree(spark, sf_dir):
-    return g.in_degree(_wiki_links(spark, sf_dir).edges)
+    return g.in_degree(_wiki_links(Workspace(spark), sf_dir).edges)
 
 
 # --- ranks ------------------------------------------------------------------
 
 
 def rank_init(spark, sf_dir):
-    graph = _wiki_graph(Workspace(spark), sf_dir)
+    ws = Workspace(spark)
+    graph = rank_graph(ws, _wiki_links(ws, sf_dir), by_title=True)
     return _ranks(r.init_ranks(graph.pages, graph.n))
 
 
 def _first_contributions(spark, sf_dir) -> DataFrame:
-    graph = _wiki_graph(Workspace(spark), sf_dir)
+    ws = Workspace(spark)
+    graph = rank_graph(ws, _wiki_links(ws, sf_dir), by_title=True)
     return r.contributions(graph, r.init_ranks(graph.pages, graph.n))
 
 
@@ -180,11 +183,14 @@ def rank_snapshots(spark, sf_dir):
     return kept.select("iteration", "page", _rounded("pr"))
 
 
+def _matrix(ws: Workspace, sf_dir: str) -> DataFrame:
+    links = _wiki_links(ws, sf_dir)
+    ranks = rank_pages(ws, rank_graph(ws, links))[ITERATIONS]
+    return r.rank_matrix(ranks, g.outlinks(links.edges, links.nodes))
+
+
 def rank_matrix8(spark, sf_dir):
-    ws = Workspace(spark)
-    graph = _wiki_graph(ws, sf_dir)
-    ranks = rank_pages(ws, graph)[ITERATIONS]
-    matrix = r.rank_matrix(ranks, g.outlinks(graph.edges, graph.pages))
+    matrix = _matrix(Workspace(spark), sf_dir)
     return matrix.select("page", _rounded("pr"), F.array_join("outlinks", " ").alias("outlinks"))
 
 
@@ -212,7 +218,8 @@ def top_ranked(spark, sf_dir):
 
 def parts_edges(spark, sf_dir):
     ws = Workspace(spark)
-    return link_graph_from_pairs(ws, *_part_tables(ws, sf_dir)).edges
+    graph = link_graph_from_pairs(ws, *_part_tables(ws, sf_dir))
+    return graph.edges.select("src", "dst", "copies")
 
 
 def parts_rank8(spark, sf_dir):
@@ -242,14 +249,14 @@ def xml_file_pages(spark, sf_dir):
 
 
 def outlink_text_round_trip(spark, sf_dir):
-    graph = _wiki_links(spark, sf_dir)
+    graph = _wiki_links(Workspace(spark), sf_dir)
     path = Workspace(spark).path("outlink.out")
     sinks.write_outlinks(g.outlinks(graph.edges, graph.nodes), path, format="text")
     return _joined(sources.read_outlinks(spark, path, format="text"), "outlinks", "n_out")
 
 
 def inlink_text_round_trip(spark, sf_dir):
-    graph = _wiki_links(spark, sf_dir)
+    graph = _wiki_links(Workspace(spark), sf_dir)
     path = Workspace(spark).path("inlink.out")
     sinks.write_inlinks(g.inlinks(graph.edges, graph.nodes), path, format="text")
     return _joined(sources.read_inlinks(spark, path, format="text"), "inlinks", "n_in")
@@ -257,11 +264,8 @@ def inlink_text_round_trip(spark, sf_dir):
 
 def matrix_text_round_trip(spark, sf_dir):
     ws = Workspace(spark)
-    graph = _wiki_graph(ws, sf_dir)
     path = ws.path("matrix.out")
-    ranks = rank_pages(ws, graph)[ITERATIONS]
-    matrix = r.rank_matrix(ranks, g.outlinks(graph.edges, graph.pages))
-    sinks.write_rank_matrix(matrix, path, format="text")
+    sinks.write_rank_matrix(_matrix(ws, sf_dir), path, format="text")
     matrix = sources.read_rank_matrix(spark, path, format="text")
     return matrix.select("page", _rounded("pr"), F.array_join("outlinks", " ").alias("outlinks"))
 
