@@ -46,8 +46,12 @@ def has_title(xml: Column) -> Column:
 
 
 def page_title(xml: Column) -> Column:
-    """Normalised text of the first title element."""
-    return normalise_title(F.substring_index(_after_title_tag(xml), TITLE_CLOSE, 1))
+    """Normalised text of the first title element.
+
+    Broken UTF-8 is replaced as it is in link targets, so that the two still meet.
+    """
+    title = F.substring_index(_after_title_tag(xml), TITLE_CLOSE, 1)
+    return normalise_title(F.make_valid_utf8(title))
 
 
 def has_open_body(xml: Column) -> Column:

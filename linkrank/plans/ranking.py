@@ -26,8 +26,10 @@ from linkrank.plans.workspace import Workspace, shuffle_tasks, shuffled_into
 ITERATIONS = 8
 # Below this many links the iterations run on plain tables.
 BUCKET_LINKS = 2_000_000
-# Links one task should take; more of them raise the number of shuffle partitions.
+# Links one task should take: at most this many, whatever the session's number of shuffle
+# partitions, and not fewer than these where the session has partitions to spare.
 TASK_LINKS = 20_000_000
+SPARE_TASK_LINKS = 50_000
 # Iterations planned as one job before the state is written.
 STEPS_PER_WRITE = 4
 
@@ -83,7 +85,7 @@ def link_graph_from_pairs(
         F.coalesce(F.sum("links"), F.lit(0)).alias("links"),
         F.coalesce(F.max("links"), F.lit(0)).alias("longest"),
     ).first()
-    tasks = max(shuffle_tasks(ws.spark), math.ceil(size.links / layout.task_links))
+    tasks = _tasks(shuffle_tasks(ws.spark), size.links, layout)
     limit = hot_limit(size.links, tasks, layout.hot_rows)
 
     links = g.merge_copies(pairs) if size.records > 1 else g.single_copies(pairs)
@@ -93,6 +95,12 @@ def link_graph_from_pairs(
     return LinkGraph(edges, nodes, size.n, size.links, size.longest, limit, tasks)
 
 
+def _tasks(session: int, links: int, layout: Layout) -> int:
+    """The session's number of shuffle partitions, unless the graph is far off it."""
+    useful = min(session, math.ceil(links / SPARE_TASK_LINKS))
+    return max(1, useful, math.ceil(links / layout.task_links))
+
+
 def rank_graph(
     ws: Workspace, graph: LinkGraph, layout: Layout = Layout(), by_title: bool = False
 ) -> r.RankGraph:

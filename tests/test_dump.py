@@ -6,6 +6,7 @@ import random
 import pytest
 
 from linkrank.operators.pages import parse_pages
+from linkrank.plans.ranking import link_graph_from_pages
 from linkrank.sources import read_pages
 from tests import brute
 
@@ -75,3 +76,14 @@ def test_several_files(spark, tmp_path):
         "<page>a</page>",
         "<page>b</page>",
     ]
+
+
+def test_broken_utf8_titles_meet_their_links(spark, ws, tmp_path):
+    broken = b"Caf\xe9 \xff"
+    path = tmp_path / "latin.xml"
+    path.write_bytes(
+        b"<page><title>" + broken + b"</title><text>x</text></page>"
+        b"<page><title>B</title><text>[[" + broken + b"|it]]</text></page>"
+    )
+    graph = link_graph_from_pages(ws, parse_pages(read_pages(spark, str(path))))
+    assert [(row.src, row.dst) for row in graph.edges.collect()] == [("B", "Caf\ufffd_\ufffd")]

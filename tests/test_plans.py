@@ -19,6 +19,9 @@ from tests import brute
 from tests.test_graph import RECORDS, pages_of
 
 
+BUCKETED = Layout(bucket_links=0, task_links=2)
+
+
 def plan(df) -> str:
     out = StringIO()
     with redirect_stdout(out):
@@ -36,7 +39,7 @@ def no_broadcast(spark):
 
 
 def test_one_exchange_and_no_sort_per_iteration(spark, ws, no_broadcast):
-    graph = graph_from_pages(ws, pages_of(spark, RECORDS), Layout(bucket_links=0))
+    graph = graph_from_pages(ws, pages_of(spark, RECORDS), BUCKETED)
     state = r.init_ranks(graph.pages, graph.n)
     for steps in range(1, 4):
         state = r.rank_step(graph, state)
@@ -47,7 +50,7 @@ def test_one_exchange_and_no_sort_per_iteration(spark, ws, no_broadcast):
 
 def test_large_page_tables_are_sorted_not_hashed(spark, ws, no_broadcast, monkeypatch):
     monkeypatch.setattr(r, "BUILD_ROWS", 0)
-    graph = graph_from_pages(ws, pages_of(spark, RECORDS), Layout(bucket_links=0))
+    graph = graph_from_pages(ws, pages_of(spark, RECORDS), BUCKETED)
     text = plan(r.rank_step(graph, r.init_ranks(graph.pages, graph.n)))
     assert "ShuffledHashJoin" not in text and "SortMergeJoin" in text
     assert len(re.findall(r"\bExchange\b", text)) == 1
@@ -95,7 +98,9 @@ def test_workspace_follows_the_session_setting(spark):
     assert folder is None or found.startswith(folder.rstrip("/"))
 
 
-def test_large_graphs_get_more_tasks(spark, ws):
+def test_shuffles_fit_the_graph(spark, ws):
+    small = graph_from_pages(ws, pages_of(spark, RECORDS))
+    assert small.tasks == 1 and small.buckets == 0
     graph = graph_from_pages(ws, pages_of(spark, RECORDS), Layout(bucket_links=0, task_links=1))
     assert graph.tasks == graph.buckets == 12
     files = graph.edges.select(F.input_file_name()).distinct().count()
