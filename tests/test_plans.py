@@ -43,7 +43,8 @@ def test_one_exchange_and_no_sort_per_iteration(spark, ws, no_broadcast):
     state = r.init_ranks(graph.pages, graph.n)
     for steps in range(1, 4):
         state = r.rank_step(graph, state)
-        text = plan(state)
+        with workspace.shuffled_into(spark, graph.tasks):
+            text = plan(state)
         assert len(re.findall(r"\bExchange\b", text)) == steps
         assert not re.search(r"\bSort\b|SortMergeJoin|Broadcast", text)
 
@@ -51,7 +52,8 @@ def test_one_exchange_and_no_sort_per_iteration(spark, ws, no_broadcast):
 def test_large_page_tables_are_sorted_not_hashed(spark, ws, no_broadcast, monkeypatch):
     monkeypatch.setattr(r, "BUILD_ROWS", 0)
     graph = graph_from_pages(ws, pages_of(spark, RECORDS), BUCKETED)
-    text = plan(r.rank_step(graph, r.init_ranks(graph.pages, graph.n)))
+    with workspace.shuffled_into(spark, graph.tasks):
+        text = plan(r.rank_step(graph, r.init_ranks(graph.pages, graph.n)))
     assert "ShuffledHashJoin" not in text and "SortMergeJoin" in text
     assert len(re.findall(r"\bExchange\b", text)) == 1
 
