@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.operators.skew import SALT, SHARES, hot_keys, join_keys, replicated, salted
+from linkrank.operators.skew import SHARES, hot_keys, join_keys, replicated, salted
 
 # Links in one adjacency row; a page with more continues in further rows.
 ROW_LINKS = 1_000_000
@@ -71,7 +71,8 @@ def existing_links(
     right = replicated(nodes.select(F.col("page").alias("dst"), *numbered), hot_targets, "dst")
     # A page is one row, so the join that brings the id keeps the rows a semi join keeps.
     how = "inner" if numbered else "left_semi"
-    return left.join(right, join_keys(hot_targets, "dst"), how).drop(SALT)
+    found = left.join(right, join_keys(hot_targets, "dst"), how)
+    return found.select(*links.columns, *(["dst_id"] if numbered else []))
 
 
 def numbered_links(
@@ -140,7 +141,7 @@ def _adjacency(
     if (sizes.longest or 0) <= limit:
         links = links.withColumn("part", F.lit(0))
     else:
-        links = _numbered_parts(links, hot_keys(degrees, "page", "deg", limit), limit)
+        links = _numbered_parts(links, hot_keys(degrees, "page", "deg", limit, 1), limit)
     unlinked = nodes.select(
         "page",
         F.lit(None).cast("string").alias("link"),

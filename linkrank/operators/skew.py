@@ -3,7 +3,8 @@
 A key is hot when it holds more than ``limit`` rows. There can be at most
 ``total / limit`` such keys, so a table of them is bounded by construction and is
 safe to broadcast however large the data is. Rows of a hot key are spread over
-``shares`` salts; the other side of a join repeats its row once per salt.
+``shares`` salts; the other side of a join repeats its row once per salt. Salts fall
+on tasks by hash, so shares are a fraction of the limit: several may meet in one task.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ SHARES = "shares"
 
 # Below this many rows a key is never worth splitting.
 HOT_ROWS = 1_000_000
+# Salts per ``limit`` rows.
+LIMIT_SHARES = 8
 # Rows read to estimate which keys are hot. Only the routing depends on it.
 ESTIMATE_ROWS = 50_000_000
 
@@ -27,11 +30,12 @@ def hot_limit(total: int, tasks: int, hot_rows: int = HOT_ROWS) -> int:
     return max(1, hot_rows, math.ceil(total / max(1, tasks)))
 
 
-def hot_keys(counts: DataFrame, key: str, rows: str, limit: float) -> DataFrame:
+def hot_keys(
+    counts: DataFrame, key: str, rows: str, limit: float, limit_shares: int = LIMIT_SHARES
+) -> DataFrame:
     """``(key, shares)`` of the keys above the limit: at most total / limit rows."""
-    return counts.where(F.col(rows) > limit).select(
-        F.col(key), F.ceil(F.col(rows) / F.lit(float(limit))).cast("int").alias(SHARES)
-    )
+    shares = F.ceil(F.col(rows) * limit_shares / F.lit(float(limit)))
+    return counts.where(F.col(rows) > limit).select(key, shares.cast("int").alias(SHARES))
 
 
 def estimated_hot_keys(

@@ -34,7 +34,7 @@ def test_limit():
 def test_hot_keys_are_bounded(pairs):
     hot = skew.estimated_hot_keys(pairs, "dst", 3000, 100)
     found = {row.dst: row.shares for row in hot.collect()}
-    assert found == {"hub": 10, "gone": 10}
+    assert found == {"hub": 80, "gone": 80}
     assert skew.estimated_hot_keys(pairs, "dst", 3000, 5000) is None
     assert skew.estimated_hot_keys(pairs, "dst", 3000, 2999) is None
 
@@ -47,7 +47,7 @@ def test_estimate_from_a_part_finds_the_same_keys(pairs):
 def test_hot_rows_spread(pairs):
     hot = skew.estimated_hot_keys(pairs, "dst", 3000, 100)
     sizes = skew.salted(pairs, hot, "dst", F.col("src")).groupBy("dst", "salt").count()
-    assert sizes.agg(F.max("count")).first()[0] < 200
+    assert sizes.agg(F.max("count")).first()[0] < 50
     cold = sizes.where("dst not in ('hub', 'gone')").agg(F.max("salt")).first()[0]
     assert cold == 0
 
