@@ -1,9 +1,10 @@
 """Column functions: no DataFrame, no action."""
 
 from linkrank.functions.markup import (
-    has_title,
-    has_body,
+    after_body_tag,
+    closes_body,
     has_open_body,
+    has_title,
     link_targets,
     normalise_title,
     page_body,
@@ -12,9 +13,10 @@ from linkrank.functions.markup import (
 from linkrank.functions.score import contribution, damped_rank, initial_rank
 
 __all__ = [
+    "after_body_tag",
+    "closes_body",
     "contribution",
     "damped_rank",
-    "has_body",
     "has_open_body",
     "has_title",
     "initial_rank",

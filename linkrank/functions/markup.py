@@ -22,12 +22,12 @@ BODY_CLOSE = "</text>"
 LINK = r"\[\[([^\]|]*+)[^\]]*+\]"
 
 
-def _after_title_tag(xml: Column) -> Column:
-    return F.substr(xml, F.position(F.lit(TITLE_OPEN), xml) + F.lit(len(TITLE_OPEN)))
+def _title_open(xml: Column) -> Column:
+    return F.position(F.lit(TITLE_OPEN), xml)
 
 
-def _after_body_tag(xml: Column) -> Column:
-    return F.substr(xml, _body_tag_end(xml) + F.lit(1))
+def _title_close(xml: Column) -> Column:
+    return F.position(F.lit(TITLE_CLOSE), xml, _title_open(xml))
 
 
 def _body_tag_end(xml: Column) -> Column:
@@ -41,8 +41,7 @@ def normalise_title(title: Column) -> Column:
 
 def has_title(xml: Column) -> Column:
     """True when the record holds a complete title element."""
-    opened = F.position(F.lit(TITLE_OPEN), xml) > 0
-    return opened & F.contains(_after_title_tag(xml), F.lit(TITLE_CLOSE))
+    return (_title_open(xml) > 0) & (_title_close(xml) > 0)
 
 
 def page_title(xml: Column) -> Column:
@@ -50,7 +49,8 @@ def page_title(xml: Column) -> Column:
 
     Broken UTF-8 is replaced as it is in link targets, so that the two still meet.
     """
-    title = F.substring_index(_after_title_tag(xml), TITLE_CLOSE, 1)
+    start = _title_open(xml) + F.lit(len(TITLE_OPEN))
+    title = F.substr(xml, start, _title_close(xml) - start)
     return normalise_title(F.make_valid_utf8(title))
 
 
@@ -59,14 +59,19 @@ def has_open_body(xml: Column) -> Column:
     return (F.position(F.lit(BODY_OPEN), xml) > 0) & (_body_tag_end(xml) > 0)
 
 
-def has_body(xml: Column) -> Column:
-    """True when the record holds a complete body element, even an empty one."""
-    return has_open_body(xml) & F.contains(_after_body_tag(xml), F.lit(BODY_CLOSE))
+def after_body_tag(xml: Column) -> Column:
+    """Everything after the first body tag, null without one."""
+    return F.when(has_open_body(xml), F.substr(xml, _body_tag_end(xml) + F.lit(1)))
 
 
-def page_body(xml: Column) -> Column:
-    """Raw text of the first body element: not trimmed, entities not decoded."""
-    return F.substring_index(_after_body_tag(xml), BODY_CLOSE, 1)
+def closes_body(rest: Column) -> Column:
+    """True when the text after a body tag holds the closing tag."""
+    return F.contains(rest, F.lit(BODY_CLOSE))
+
+
+def page_body(rest: Column) -> Column:
+    """Raw text up to the closing tag: not trimmed, entities not decoded."""
+    return F.substring_index(rest, BODY_CLOSE, 1)
 
 
 def link_targets(body: Column) -> Column:

@@ -16,11 +16,16 @@ def parse_pages(records: DataFrame, xml: str = "xml") -> DataFrame:
     """
     raw = F.col(xml)
     others = [c for c in records.columns if c != xml]
-    return records.where(markup.has_title(raw) & markup.has_body(raw)).select(
+    found = records.select(
         *others,
-        markup.page_title(raw).alias("title"),
-        markup.page_body(raw).alias("body"),
+        F.when(markup.has_title(raw), markup.page_title(raw)).alias("_title"),
+        markup.after_body_tag(raw).alias("_rest"),
     )
+    # A generator, not a filter: a filter would be pushed below the expressions above and
+    # below whatever builds the record, and evaluate them again for each condition.
+    exists = F.col("_title").isNotNull() & markup.closes_body(F.col("_rest"))
+    page = F.struct(F.col("_title").alias("title"), markup.page_body(F.col("_rest")).alias("body"))
+    return found.select(*others, F.inline(F.when(exists, F.array(page))))
 
 
 def malformed_records(records: DataFrame, xml: str = "xml") -> DataFrame:

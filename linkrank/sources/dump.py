@@ -29,7 +29,9 @@ def read_pages(
     ended = F.contains(F.col("value"), F.lit(end_tag))
     if start_tag.endswith(">"):
         first_split = F.col("_metadata.file_block_start") == 0
-        ended &= ~(first_split & block.rlike(re.escape(start_tag[:-1]) + r"\s"))
+        # The plain search spares nearly every record the pattern.
+        opened = F.contains(block, F.lit(start_tag[:-1]))
+        ended &= ~(first_split & opened & block.rlike(re.escape(start_tag[:-1]) + r"\s"))
     return chunks.where(ended).select(
         F.concat(F.lit(start_tag), block, F.lit(end_tag)).alias("xml")
     )

@@ -78,6 +78,10 @@ ORACLE = {
         SELECT page_id,
           replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), ' ', '_') AS title
         FROM pages WHERE regexp_matches(html, '(?s)<title>.*</title>')""",
+    "html_malformed": """
+        SELECT page_id FROM pages
+        WHERE NOT (regexp_matches(html, '(?s)<title>.*</title>')
+          AND regexp_matches(html, '(?s)<text[^>]*>'))""",
     "wiki_pages": _WIKI + "SELECT doc_id, title, length(body) AS body_chars FROM pg",
     "wiki_link_targets": _WIKI + "SELECT doc_id, src AS title, dst AS link FROM pair",
     "wiki_link_pairs": _WIKI + "SELECT src, dst FROM pair",

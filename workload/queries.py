@@ -9,7 +9,7 @@ from linkrank import sinks, sources
 from linkrank.functions import has_title, page_title
 from linkrank.operators import graph as g
 from linkrank.operators import ranks as r
-from linkrank.operators.pages import page_links, parse_pages
+from linkrank.operators.pages import malformed_records, page_links, parse_pages
 from linkrank.operators.results import above_threshold, sorted_ranks
 from linkrank.plans.ranking import (
     ITERATIONS,
@@ -74,6 +74,11 @@ def html_titles(spark, sf_dir):
     return pages.select("page_id", page_title(html).alias("title"))
 
 
+def html_malformed(spark, sf_dir):
+    pages = fx.table(spark, sf_dir, "pages")
+    return malformed_records(pages, xml="html").select("page_id")
+
+
 def wiki_pages(spark, sf_dir):
     pages = _wiki_pages(spark, sf_dir)
     return pages.select("doc_id", "title", F.length("body").cast("bigint").alias("body_chars"))
@@ -292,6 +297,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         html_titles,
+        html_malformed,
         wiki_pages,
         wiki_link_targets,
         wiki_link_pairs,
