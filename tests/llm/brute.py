@@ -1,0 +1,191 @@
+"""What the operators must return, by the shortest way, for small tables of dicts."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import re
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import tiktoken
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+KINDS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def sha(text: str | bytes) -> str:
+    return hashlib.sha256(text.encode() if isinstance(text, str) else text).hexdigest()
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        total += d if i % 2 == 0 else sum(divmod(2 * d, 10))
+    return total % 10 == 0
+
+
+def valid(kind: str, match: str) -> bool:
+    digits = re.sub("[^0-9]", "", match)
+    return {
+        "email": lambda: True,
+        "ip": lambda: all(int(x) <= 255 for x in match.split(".")),
+        "card": lambda: 16 <= len(digits) <= 19 and luhn(digits),
+        "phone": lambda: 8 <= len(digits) <= 15,
+    }[kind]()
+
+
+def base_spans(text: str | None) -> list[tuple[str, int, int]]:
+    return [
+        (k, m.start(), m.end())
+        for k, p in KINDS.items()
+        for m in re.finditer(p, text or "")
+        if valid(k, m[0])
+    ]
+
+
+def op1(docs):
+    out = {}
+    for d in docs:
+        spans = base_spans(d["text"])
+        n = Counter(k for k, _, _ in spans)
+        out[d["doc_id"]] = (*(n[k] for k in KINDS), sha(",".join(f"{k}:{a}:{b}" for k, a, b in spans)))
+    return out
+
+
+def shingle_set(text: str | None, n: int) -> frozenset:
+    words = WORD.findall(re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+    take = min(n, len(words))
+    return frozenset(tuple(words[i : i + take]) for i in range(len(words) - take + 1)) if words else frozenset()
+
+
+def find(parent: list[int], x: int) -> int:
+    while parent[x] != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
+def op2(docs, n=3, percent=90):
+    sets = [shingle_set(d["text"], n) for d in docs]
+    holders = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            holders[x].append(i)
+    parent = list(range(len(docs)))
+    for i, s in enumerate(sets):
+        both = Counter(j for x in s for j in holders[x] if j > i)
+        for j, c in both.items():
+            if 100 * c >= percent * (len(s) + len(sets[j]) - c):
+                parent[find(parent, i)] = find(parent, j)
+    ids = defaultdict(list)
+    for i, d in enumerate(docs):
+        ids[find(parent, i)].append(d["doc_id"])
+    least = {r: min((x for x in v if x is not None), default=None) for r, v in ids.items()}
+    return [(d["doc_id"], len(sets[i]), least[find(parent, i)]) for i, d in enumerate(docs)]
+
+
+def op3(docs):
+    groups = defaultdict(list)
+    for d in docs:
+        groups[d["text"] or ""].append(d["doc_id"])
+    out = []
+    for d in docs:
+        g = groups[d["text"] or ""]
+        keep = max((x for x in g if x is not None), default=None)
+        out.append((d["doc_id"], keep, len(g), d["doc_id"] == keep, sha(d["text"] or "")))
+    return out
+
+
+def op4(docs, length=200):
+    texts = [(d["text"] or "").encode() for d in docs]
+    seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for d, t in zip(docs, texts, strict=True):
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        runs = len(re.findall(b"\1+", bytes(gone)))
+        kept = bytes(b for b, g in zip(t, gone, strict=True) if not g)
+        out.append((d["doc_id"], len(t), sum(gone), runs, sha(kept)))
+    return out
+
+
+def op6(docs):
+    out = []
+    for d in docs:
+        text = d["text"] or ""
+        words = WORD.findall(text)
+        seen, dup = set(), 0
+        for line in text.split("\n"):
+            dup += line in seen
+            if WORD.search(line):
+                seen.add(line)
+        windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+        count = Counter(windows)
+        covered = {j for i, w in enumerate(windows) if count[w] > 1 for j in range(i, i + 8)}
+        failed = len(words) < 20 or 100 * len(covered) > 30 * len(words)
+        symbols = sum(c in "#*$%&|<>" for c in text)
+        out.append((d["doc_id"], len(words), sum(map(len, words)), symbols, dup, len(covered), failed))
+    return out
+
+
+def op7(docs, window=3):
+    """Rows of ``(doc_id, n_lines, n_removed, kept_sha256)``; ids must differ."""
+    seen, out = set(), []
+    for d in sorted(docs, key=lambda d: (d["doc_id"] is not None, d["doc_id"])):
+        if d["text"] is None:
+            out.append((d["doc_id"], 0, 0, sha("")))
+            continue
+        lines = d["text"].split("\n")
+        gone = set()
+        for i in range(len(lines) - window + 1):
+            passage = tuple(lines[i : i + window])
+            if not any(WORD.search(x) for x in passage):
+                continue
+            if passage in seen:
+                gone.update(range(i, i + window))
+            seen.add(passage)
+        kept = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        out.append((d["doc_id"], len(lines), len(gone), sha(kept)))
+    return out
+
+
+def jump(key: int, shards: int) -> int:
+    here, ahead = -1, 0
+    while ahead < shards:
+        here = ahead
+        key = (key * 2862933555777941757 + 1) % 2**64
+        ahead = int((here + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return here
+
+
+def crc(text: str | None) -> int:
+    return zlib.crc32((text or "").encode())
+
+
+def tokenizer() -> tiktoken.Encoding:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+
+
+def op10(docs):
+    encoding = tokenizer()
+    out = []
+    for d in docs:
+        ids = encoding.encode_ordinary(d["text"] or "")
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        out.append((d["doc_id"], len(ids), sha(packed), sha(encoding.decode_bytes(ids))))
+    return out
