@@ -19,8 +19,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from linkrank.llm.components import components
 from linkrank.llm.text import text_key, whole_text
@@ -382,12 +383,32 @@ def keep_firsts(ws: Workspace, docs: DataFrame, rule: Similarity) -> DataFrame:
     """All columns of ``docs``, one row of each component: the smallest id, then text key.
     Rows without words all stay; of repeated rows one stays."""
     classes = near_duplicates(ws, docs.select("doc_id", "text"), rule)
-    stay: Column = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("first_key"))
+    stay = F.col("doc_id").eqNullSafe(F.col("component_id")) & (
+        F.col("key") == F.col("first_key")
+    )
+    place = F.xxhash64("doc_id", "key")
     kept = classes.where(stay).select(
-        F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key"), (F.col("n_shingles") > 0).alias("_words")
+        place.alias("__place"),
+        F.col("doc_id").alias("__id"),
+        F.col("key").alias("__key"),
+        (F.col("n_shingles") > 0).alias("__words"),
     )
     kept = ws.save(kept.distinct(), "kept")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (text_key() == F.col("_key"))
-    found = docs.join(kept, same)
-    worded = found.where("_words").dropDuplicates(["_doc_id", "_key"])
-    return worded.union(found.where("NOT _words")).drop("_doc_id", "_key", "_words")
+    own_id = F.col("doc_id").cast("long")
+    here = docs.withColumn("__here", F.xxhash64(own_id, text_key()))
+    same = (
+        (F.col("__here") == F.col("__place"))
+        & own_id.eqNullSafe(F.col("__id"))
+        & (text_key() == F.col("__key"))
+    )
+    # Repeated rows lie side by side after the join; each but the first of a place goes.
+    order = Window.partitionBy("__here").orderBy("__id", "__key")
+    nth = F.row_number().over(order)
+    before = F.lag(F.struct("__id", "__key")).over(order)
+    again = (nth > 1) & before.eqNullSafe(F.struct("__id", "__key"))
+    return (
+        here.join(kept, same)
+        .withColumn("__again", again)
+        .where(~F.col("__again") | ~F.col("__words"))
+        .select(*docs.columns)
+    )

@@ -206,8 +206,10 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` and ``lang_pred``, ``score``; only ``text`` is looked at.
 
-    Null texts, and texts without a letter, are ``und`` with score 0.
+    Null texts, and texts without a letter, are ``und`` with score 0. Columns that have the
+    new names are replaced.
     """
+    docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index("text")
 

@@ -68,8 +68,7 @@ def repeated_lines(ws: Workspace, docs: DataFrame, window: int = WINDOW) -> Data
 
 
 def dedup_lines(ws: Workspace, docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """All columns of ``docs``, ``text`` without repeated passages, and ``n_lines``,
-    ``n_removed`` (new names give way to equal ones in ``docs``, see ``line_report``).
+    """All columns of ``docs``, ``text`` without repeated passages.
 
     A line goes if any repeated window covers it that is not the first of its kind; the
     lines that stay are joined as they were. A null text stays null, a text of fewer lines
@@ -86,27 +85,27 @@ def line_report(ws: Workspace, docs: DataFrame, window: int = WINDOW) -> DataFra
     return out.select(
         "doc_id",
         lines.cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
         _cut_text("text"),
     )
 
 
 def _cut(ws: Workspace, docs: DataFrame, window: int) -> DataFrame:
-    """``docs`` with ``_gone``: the line numbers to remove, null where there are none."""
+    """``docs`` with ``__gone``: the line numbers to remove, null where there are none."""
     covered = F.array_distinct(
         F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (window - 1))))
     )
     starts = repeated_lines(ws, docs, window).select(
-        F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key"), covered.alias("_gone")
+        F.col("doc_id").alias("__line_id"), F.col("key").alias("__line_key"), covered.alias("__gone")
     )
     found = ws.save(starts, "starts")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (text_key() == F.col("_key"))
-    return docs.join(found, same, "left").drop("_doc_id", "_key")
+    same = F.col("doc_id").eqNullSafe(F.col("__line_id")) & (text_key() == F.col("__line_key"))
+    return docs.join(found, same, "left").drop("__line_id", "__line_key")
 
 
 def _cut_text(column: str):
-    """The text without the lines in ``_gone``."""
+    """The text without the lines in ``__gone``."""
     lines = F.split(F.col(column), "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
     cut = F.array_join(F.transform(stay, lambda i: lines[i]), "\n")
-    return F.when(F.col("_gone").isNull(), F.col(column)).otherwise(cut).alias(column)
+    return F.when(F.col("__gone").isNull(), F.col(column)).otherwise(cut).alias(column)

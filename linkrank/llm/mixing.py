@@ -84,90 +84,134 @@ def source_targets(sized: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(ws: Workspace, docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """``(doc_id, size, source, source_size, target, epochs, taken)`` per document.
+# Sources whose bounds may be broadcast: a few hundred bytes each.
+BROADCAST_SOURCES = 10_000
 
-    ``taken`` is the number of words the mix takes of a document: its size once for each
-    complete epoch of its source, and once more if the draw chooses it. The draw sorts a
-    source's documents by exponential keys over quality weights and takes the longest run
-    whose sizes fit what complete epochs leave of the target; so a source misses its target
-    by less than its next document. Null texts have size 0, null is a source like any other.
-    Repeated ids draw equal numbers and are ordered by text. Reruns agree.
-    """
+
+def _sized(docs: DataFrame, seed: str) -> DataFrame:
+    """``docs`` with what the draw looks at: size, key, and what breaks ties."""
     text = whole_text()
     key = -F.log(uniform(F.col("doc_id"), seed)) / quality(text)
+    return docs.withColumns(
+        {"__size": word_count(text), "__key": key, "__tie": F.md5(text), "__id": F.col("doc_id")}
+    )
+
+
+def draw_bounds(ws: Workspace, docs: DataFrame, seed: str) -> DataFrame:
+    """``(source, source_size, target, epochs, last)``: ``last`` is the key of the last
+    document that the draw of a source takes, null if it takes none.
+
+    The running sum of sizes goes over steps of keys of equal chance, then over the rows of
+    the one step in which the budget ends.
+    """
     rows = ws.save(
-        docs.select(
-            "doc_id",
+        _sized(docs, seed).select(
             "source",
-            word_count(text).alias("size"),
-            key.alias("key"),
-            F.xxhash64(text).alias("tie"),
+            F.col("__size").alias("size"),
+            F.struct(
+                F.col("__key").alias("key"), F.col("__id").alias("id"), F.col("__tie").alias("tie")
+            ).alias("place"),
         ),
         "rows",
     )
     targets = ws.save(source_targets(rows), "targets")
-    # Keys in steps of equal chance: the running sum goes over steps, then inside one.
     steps = max(1, rows.count() // STEP_ROWS)
-    step = F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * steps).cast("long")
+    step = F.floor((F.lit(1.0) - F.exp(-F.col("place.key"))) * steps).cast("long")
     stepped = rows.withColumn("step", step)
     before = (
         Window.partitionBy("source").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     )
+    budgets = targets.select(F.col("source").alias("s"), "budget")
+    # Steps that begin inside the budget; of each source the last one may cross it.
     sums = (
         stepped.groupBy("source", "step")
         .agg(F.sum("size").alias("step_size"))
         .withColumn("before", F.coalesce(F.sum("step_size").over(before), F.lit(0)))
-        .join(targets.select(F.col("source").alias("s"), "budget"), F.col("source").eqNullSafe(F.col("s")))
-        .drop("s")
+        .join(budgets, F.col("source").eqNullSafe(F.col("s")))
+        .where(F.col("before") < F.col("budget"))
     )
-    # Steps wholly inside the budget, and the one that crosses it.
-    sums = ws.save(sums.where(F.col("before") <= F.col("budget")), "steps")
-    whole = F.col("before") + F.col("step_size") <= F.col("budget")
+    newest = ws.save(
+        sums.groupBy("source")
+        .agg(F.max(F.struct("step", "before", "budget")).alias("at"))
+        .select(F.col("source").alias("s"), "at.*")
+        .withColumnRenamed("step", "t"),
+        "steps",
+    )
+    same = F.col("source").eqNullSafe(F.col("s"))
     inside = (
-        Window.partitionBy("source", "step")
-        .orderBy("key", F.col("doc_id").asc_nulls_first(), "tie")
+        Window.partitionBy("source")
+        .orderBy("place")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    crossing = sums.where(~whole).select(
-        F.col("source").alias("s"), F.col("step").alias("t"), "before", "budget"
-    )
-    drawn_last = (
-        stepped.join(
-            crossing, F.col("source").eqNullSafe(F.col("s")) & (F.col("step") == F.col("t"))
-        )
+    crossing = (
+        stepped.join(newest, same & (F.col("step") == F.col("t")))
         .withColumn("used", F.col("before") + F.sum("size").over(inside))
-        .select("source", "step", "key", "doc_id", "tie", (F.col("used") <= F.col("budget")).alias("fits"))
+        .where(F.col("used") - F.col("size") / 2 < F.col("budget"))
+        .groupBy("source")
+        .agg(F.max("place").alias("inside"))
     )
-    # The crossing step's last document that fits bounds the draw of the source.
-    last = ws.save(
-        drawn_last.where("fits")
+    # Where nothing of that step fits, the draw ends with the step before it.
+    earlier = (
+        stepped.join(newest, same & (F.col("step") < F.col("t")))
         .groupBy("source")
-        .agg(F.max(F.struct("key", "doc_id", "tie")).alias("last")),
-        "last",
+        .agg(F.max("place").alias("earlier"))
     )
-    whole_steps = sums.where(whole).groupBy("source").agg(F.max("step").alias("whole"))
-    bounds = ws.save(
+    crossing, earlier = ws.save(crossing, "inside"), ws.save(earlier, "earlier")
+    return ws.save(
         targets.alias("t")
-        .join(whole_steps.alias("w"), F.col("t.source").eqNullSafe(F.col("w.source")), "left")
-        .join(last.alias("l"), F.col("t.source").eqNullSafe(F.col("l.source")), "left")
-        .select("t.*", "w.whole", "l.last"),
+        .join(crossing.alias("c"), F.col("t.source").eqNullSafe(F.col("c.source")), "left")
+        .join(earlier.alias("e"), F.col("t.source").eqNullSafe(F.col("e.source")), "left")
+        .select(
+            F.col("t.source").alias("__source"),
+            F.col("source_size").alias("__source_size"),
+            F.col("target").alias("__target"),
+            F.col("epochs").alias("__epochs"),
+            F.coalesce("inside", "earlier").alias("__last"),
+        ),
         "bounds",
     )
-    drawn = F.coalesce(F.col("step") <= F.col("whole"), F.lit(False)) | F.coalesce(
-        F.struct("key", F.col("r.doc_id").alias("doc_id"), "tie") <= F.col("last"), F.lit(False)
+
+
+def _drawn(ws: Workspace, docs: DataFrame, seed: str) -> DataFrame:
+    """``docs`` with all of the above and ``__copies``: how often the mix takes a row."""
+    bounds = draw_bounds(ws, docs, seed)
+    if bounds.count() <= BROADCAST_SOURCES:
+        bounds = F.broadcast(bounds)
+    here = F.struct(
+        F.col("__key").alias("key"), F.col("__id").alias("id"), F.col("__tie").alias("tie")
     )
-    taken = (F.col("epochs") + drawn.cast("long")) * F.col("size")
+    drawn = F.coalesce(here <= F.col("__last"), F.lit(False)).cast("long")
     return (
-        stepped.alias("r")
-        .join(bounds.alias("b"), F.col("r.source").eqNullSafe(F.col("b.source")))
-        .select(
-            F.col("r.doc_id").alias("doc_id"),
-            "size",
-            F.col("r.source").alias("source"),
-            "source_size",
-            "target",
-            "epochs",
-            taken.alias("taken"),
-        )
+        _sized(docs, seed)
+        .join(bounds, F.col("source").eqNullSafe(F.col("__source")))
+        .withColumn("__copies", F.col("__epochs") + drawn)
+    )
+
+
+def mix_sources(ws: Workspace, docs: DataFrame, seed: str = "mix") -> DataFrame:
+    """``(doc_id, size, source, source_size, target, copies, taken)`` per document.
+
+    ``taken`` is the number of words the mix takes of a document: its size once for each
+    complete epoch of its source, and once more if the draw chooses it. The draw sorts a
+    source's documents by exponential keys over quality weights and takes all whose middle
+    lies inside what complete epochs leave of the target; so a source misses its target by
+    at most half a document. Null texts have size 0, null is a source like any other.
+    Repeated ids draw equal numbers and are ordered by text. Reruns agree. Extra columns are
+    ignored.
+    """
+    rows = _drawn(ws, docs.select("doc_id", "text", "source"), seed)
+    return rows.select(
+        "doc_id",
+        F.col("__size").alias("size"),
+        "source",
+        F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"),
+        F.col("__copies").alias("copies"),
+        (F.col("__copies") * F.col("__size")).alias("taken"),
     )
+
+
+def mixed_documents(ws: Workspace, docs: DataFrame, seed: str = "mix") -> DataFrame:
+    """The mix itself: rows of ``docs``, each as often as the mix takes it."""
+    times = F.array_repeat(F.lit(1), F.col("__copies").cast("int"))
+    return _drawn(ws, docs, seed).withColumn("__time", F.explode(times)).select(*docs.columns)

@@ -30,12 +30,12 @@ GROUP_ROWS = 200
 KEPT_SHARE = 0.75
 STEPS = 5
 # Median of a chi-square with five degrees of freedom, and the squared distance that rejects:
-# one in a billion for normal statistics, which these are not quite.
+# far beyond what normal statistics reach, as these are not quite normal.
 CHI_MEDIAN = 4.351
-CUT = 50.0
+CUT = 40.0
 # Standard deviations below which a group's statistic is not believed to lie, and the digits
 # that statistics and distances keep: that bounds their distinct values.
-FLOORS = (0.15, 0.05, 0.1, 0.1, 0.02)
+FLOORS = (0.15, 0.05, 0.15, 0.15, 0.02)
 DIGITS = 3
 FAR = 10_000.0
 
