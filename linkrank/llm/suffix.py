@@ -32,11 +32,12 @@ from linkrank.plans.workspace import Workspace
 LENGTH = 200
 # Bytes of a trigger: a power of two.
 TRIGGER = 64
-# Triggers with more different phrases than this are compared by fingerprints of stretches:
-# those add up before they are shuffled, so no task has to hold such a trigger's phrases.
-HOT_PHRASES = 256
 # Bytes of dictionary that one suffix array covers: its positions are 20-bit numbers.
 ARRAY_BYTES = 1 << 20
+# Triggers with more different phrases than one suffix array holds are compared by
+# fingerprints of stretches: those add up before they are shuffled, so no task has to hold
+# such a trigger's phrases.
+HOT_PHRASES = ARRAY_BYTES // (2 * LENGTH) - 1
 # Bits of the filter that tells which texts hold a repeated trigger: 8 MB, and how many of
 # them a trigger sets. A full filter only lets texts through that hold none.
 FILTER_BITS = 26
