@@ -1,9 +1,10 @@
 """Near duplicates: a Jaccard join on word shingles, filtered under several token orders.
 
 Two sets that are similar enough share a token among the first few of each, whatever one
-order both are sorted by. One order proposes pairs, the others must agree before a pair's
-texts are compared. All orders put rare tokens first, as a sketch of fixed size counts them,
-and break ties by a hash of their own. Equal sets are one class; classes are joined.
+order both are sorted by, and several among the first few more. One order proposes pairs, two
+others must agree before a pair's texts are compared: one of them asks for several tokens.
+Two orders put rare tokens first, as a sketch of fixed size counts them; all break ties by a
+hash of their own. Equal sets are one class; classes are joined.
 
 A group of near copies is not expanded into all pairs: while many pairs are left, each shared
 token proposes only its members' pairs with the most central one, and what links is one
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -30,16 +31,16 @@ from linkrank.plans.workspace import Workspace
 # Counters of the sketch that orders tokens: 8 MB, whatever the table.
 SKETCH_BITS = 21
 SKETCH_BLOCK = 1 << 14
-# Token orders: the first proposes pairs, the others must agree.
-ORDERS = 3
 # Words whose hashes a task keeps.
 KNOWN_WORDS = 300_000
 # Star rounds go on while all pairs that are left are more than this many per class.
 PAIRS_PER_CLASS = 4
 STAR_ROUNDS = 6
-# Documents with a possible partner that may be broadcast to pick their texts (32 MB).
+# Classes that may be broadcast to pick their texts (32 MB).
 BROADCAST_ROWS = 1_000_000
 
+_MASK = (1 << 64) - 1
+
 
 @dataclass(frozen=True)
 class Similarity:
@@ -52,6 +53,10 @@ class Similarity:
         """How many tokens of a set of n must be looked at: n less the least overlap, plus 1."""
         return n - -(-self.percent * n // 100) + 1
 
+    def longer(self, n: np.ndarray | int):
+        """The prefix of the order that asks for several tokens: half the set."""
+        return n // 2 + self.prefix(n)
+
 
 class _Words(dict):
     """Hashes of words, bounded."""
@@ -115,7 +120,7 @@ def document_sets(docs: DataFrame, rule: Similarity) -> DataFrame:
             arrays = [pa.array(c, t) if isinstance(c, list) else c.cast(t) for c, t in zip(columns, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
         blocks = [
-            (i, part.astype("<u4").tobytes())
+            (i, np.minimum(part, 65535).astype("<u2").tobytes())
             for i, part in enumerate(sketch.reshape(-1, SKETCH_BLOCK))
             if part.any()
         ]
@@ -149,7 +154,7 @@ def token_levels(partial: DataFrame) -> np.ndarray:
                     if total is not None:
                         yield level()
                     block, total = b, np.zeros(SKETCH_BLOCK, np.int64)
-                total += np.frombuffer(counts, "<u4")
+                total += np.frombuffer(counts, "<u2")
         if total is not None:
             yield level()
 
@@ -165,29 +170,30 @@ def token_levels(partial: DataFrame) -> np.ndarray:
     return out
 
 
-def prefixes(tokens: np.ndarray, levels: np.ndarray, rule: Similarity) -> list[np.ndarray]:
-    """The set's first tokens under each order."""
-    take = rule.prefix(len(tokens))
+def order_key(tokens: np.ndarray, levels: np.ndarray | None, order: int) -> np.ndarray:
+    """Places of tokens in one order: by level, then by a hash; by the hash alone without."""
+    mixed = tokens * np.uint64(0x9E3779B97F4A7C15 + 2 * order * 0x632BE59BD9B4E019 & _MASK)
+    mixed ^= mixed >> np.uint64(31)
+    if levels is None:
+        return mixed
     level = levels[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
-    out = []
-    for order in range(ORDERS):
-        mixed = tokens * np.uint64(0x9E3779B97F4A7C15 + 2 * order * 0x632BE59BD9B4E019 & (1 << 64) - 1)
-        mixed ^= mixed >> np.uint64(31)
-        key = level << np.uint64(58) | mixed >> np.uint64(6)
-        first = np.argpartition(key, take - 1)[:take] if take < len(tokens) else slice(None)
-        out.append(tokens[first])
-    return out
+    return level << np.uint64(58) | mixed >> np.uint64(6)
+
+
+def smallest(tokens: np.ndarray, key: np.ndarray, take: int) -> np.ndarray:
+    """The first tokens by key, in no order."""
+    return tokens[np.argpartition(key, take - 1)[:take]] if take < len(tokens) else tokens
 
 
 def class_prefixes(docs: DataFrame, levels: np.ndarray, rule: Similarity) -> DataFrame:
-    """``(node, tokens, others)``: each class's first tokens, and 32 bits of those under the
-    other orders. A task names a class once; classes of several tasks come several times."""
+    """``(node, tokens)``: each class's first tokens under the proposing order, in order. A
+    task names a class once; classes of several tasks come several times."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, levels, seen = _Words(), shared.value, set()
         for batch in batches:
-            nodes, first, others = [], [], []
+            nodes, first = [], []
             for body in batch.column("body").to_pylist():
                 tokens = shingles(split_words(body), rule.words, known)
                 node, _ = _class_of(tokens)
@@ -195,22 +201,65 @@ def class_prefixes(docs: DataFrame, levels: np.ndarray, rule: Similarity) -> Dat
                     continue
                 if len(seen) < KNOWN_WORDS:
                     seen.add(node)
-                orders = prefixes(tokens, levels, rule)
+                key = order_key(tokens, levels, 0)
+                part = smallest(np.arange(len(tokens)), key, rule.prefix(len(tokens)))
                 nodes.append(node)
-                first.append(orders[0].view(np.int64))
-                others.append([o.astype(np.uint32).view(np.int32) for o in orders[1:]])
+                first.append(tokens[part[np.argsort(key[part])]].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.int64()), pa.array(first, pa.list_(pa.int64()))],
+                names=["node", "tokens"],
+            )
+
+    return docs.select("body").mapInArrow(run, "node long, tokens array<long>")
+
+
+def other_orders(docs: DataFrame, levels: np.ndarray, rule: Similarity) -> DataFrame:
+    """``(node, size, second, third)`` of ``(node, body)``: 32 bits of the first tokens under
+    the second order, and of a longer prefix under the third."""
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, levels = _Words(), shared.value
+        for batch in batches:
+            sizes, second, third = [], [], []
+            for body in batch.column("body").to_pylist():
+                tokens = shingles(split_words(body), rule.words, known)
+                n = len(tokens)
+                sizes.append(n)
+                part = smallest(tokens, order_key(tokens, levels, 1), rule.prefix(n))
+                second.append(part.view(np.int64).astype(np.int32))
+                part = smallest(tokens, order_key(tokens, None, 2), rule.longer(n))
+                third.append(part.view(np.int64).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(nodes, pa.int64()),
-                    pa.array(first, pa.list_(pa.int64())),
-                    pa.array(others, pa.list_(pa.list_(pa.int32()))),
-                ],
-                names=["node", "tokens", "others"],
+                [batch.column("node"), pa.array(sizes, pa.int64())]
+                + [pa.array(x, pa.list_(pa.int32())) for x in (second, third)],
+                names=["node", "size", "second", "third"],
             )
 
-    return docs.select("body").mapInArrow(
-        run, "node long, tokens array<long>, others array<array<int>>"
+    return docs.select("node", "body").mapInArrow(
+        run, "node long, size long, second array<int>, third array<int>"
+    )
+
+
+def least_overlap(rule: Similarity, one: Column, two: Column) -> Column:
+    """How many tokens sets of these sizes have in common at least, if they link."""
+    return F.ceil(rule.percent * (one + two) / (100 + rule.percent))
+
+
+def orders_agree(rule: Similarity) -> Column:
+    """Whether the prefixes of a pair, ``one`` and ``two``, allow it to link.
+
+    With at least ``least`` tokens in common, prefixes of ``size - least + k`` tokens share k.
+    Of tokens whose 32 bits are equal one is lost to the count, and is added again.
+    """
+    one, two = F.col("one"), F.col("two")
+    least = least_overlap(rule, one["size"], two["size"])
+    wanted = F.least(
+        *[F.size(x["third"]) - x["size"] + least for x in (one, two)], one["size"], two["size"]
     )
+    lost = F.size(one["third"]) - F.size(F.array_distinct(one["third"]))
+    common = F.size(F.array_intersect(one["third"], two["third"])) + lost
+    return F.arrays_overlap(one["second"], two["second"]) & (common >= wanted)
 
 
 def _links(pairs: DataFrame, rule: Similarity) -> DataFrame:
@@ -240,13 +289,16 @@ def _links(pairs: DataFrame, rule: Similarity) -> DataFrame:
 
 @dataclass
 class _Join:
-    """The tables of one join: ``shared(token, node, rank)``, prefixes and texts by class."""
+    """The tables of one join: ``docs(key, body)``; ``shared(token, node, left, size, rank)``
+    where ``left`` counts the class's tokens from this one on; the sketch; by class the key
+    of one of its texts."""
 
     ws: Workspace
     rule: Similarity
+    docs: DataFrame
     shared: DataFrame
-    others: DataFrame
-    texts: DataFrame
+    levels: np.ndarray
+    keys: DataFrame
 
     def labelled(self, labels: DataFrame | None) -> DataFrame:
         """Shared tokens with each class's component, without those inside one component."""
@@ -263,22 +315,39 @@ class _Join:
         ).where("c0 != c1").select("token")
         return self.ws.save(rows.join(self.ws.save(split, "split"), "token"), "labelled")
 
+    def possible(self) -> Column:
+        """Whether a shared token can be the first that a pair shares: so many tokens as the
+        pair must have in common are left from its place on, in either class."""
+        least = least_overlap(self.rule, F.col("size"), F.col("size2"))
+        return (F.col("left") >= least) & (F.col("left2") >= least)
+
     def stars(self, rows: DataFrame) -> DataFrame:
         """Pairs of each class with the most central one of a token, components apart."""
-        centre = self.ws.save(
-            rows.groupBy("token").agg(
-                F.min_by("node", "rank").alias("centre"), F.min_by("component", "rank").alias("home")
-            ),
-            "centres",
-        )
-        return rows.join(centre, "token").where("component != home").select(
-            F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
+        central = [
+            F.min_by(c, "rank").alias(f"{c}2") for c in ("node", "component", "size", "left")
+        ]
+        centre = self.ws.save(rows.groupBy("token").agg(*central), "centres")
+        near = rows.join(centre, "token").where(F.col("component") != F.col("component2"))
+        return near.where(self.possible()).select(
+            F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")
         )
 
     def all_pairs(self, rows: DataFrame) -> DataFrame:
-        left = rows.select("token", F.col("node").alias("a"), F.col("component").alias("ca"))
-        right = rows.select("token", F.col("node").alias("b"), F.col("component").alias("cb"))
-        return left.join(right, "token").where("a < b AND ca != cb").select("a", "b")
+        names = ("node", "component", "size", "left")
+        other = rows.select("token", *[F.col(c).alias(f"{c}2") for c in names])
+        apart = (F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2"))
+        return rows.join(other, "token").where(apart & self.possible()).select(
+            F.col("node").alias("a"), F.col("node2").alias("b")
+        )
+
+    def texts(self, pairs: DataFrame) -> DataFrame:
+        """``(node, body)``: one text of each class in the pairs."""
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        chosen = self.ws.save(self.keys.join(nodes, "node"), "chosen")
+        if chosen.count() <= BROADCAST_ROWS:
+            chosen = F.broadcast(chosen)
+        found = self.docs.join(chosen, "key").dropDuplicates(["node"])
+        return self.ws.save(found.select("node", "body"), "texts")
 
     def test(self, pairs: DataFrame, tested: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         """New links among the pairs, and all pairs tested so far."""
@@ -286,16 +355,15 @@ class _Join:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = self.ws.save(pairs, "pairs")
-        one = self.others.select(F.col("node").alias("a"), F.col("others").alias("oa"))
-        two = self.others.select(F.col("node").alias("b"), F.col("others").alias("ob"))
-        agree = F.lit(True)
-        for order in range(ORDERS - 1):
-            agree &= F.arrays_overlap(F.col("oa")[order], F.col("ob")[order])
-        near = self.ws.save(
-            pairs.join(one, "a").join(two, "b").where(agree).select("a", "b"), "candidates"
-        )
-        left = self.texts.select(F.col("node").alias("a"), F.col("body").alias("text_a"))
-        right = self.texts.select(F.col("node").alias("b"), F.col("body").alias("text_b"))
+        texts = self.texts(pairs)
+        others = self.ws.save(other_orders(texts, self.levels, self.rule), "others")
+        sides = F.struct("size", "second", "third")
+        one = others.select(F.col("node").alias("a"), sides.alias("one"))
+        two = others.select(F.col("node").alias("b"), sides.alias("two"))
+        near = pairs.join(one, "a").join(two, "b").where(orders_agree(self.rule))
+        near = self.ws.save(near.select("a", "b"), "candidates")
+        left = texts.select(F.col("node").alias("a"), F.col("body").alias("text_a"))
+        right = texts.select(F.col("node").alias("b"), F.col("body").alias("text_b"))
         links = self.ws.save(_links(near.join(right, "b").join(left, "a"), self.rule), "links")
         return links, pairs if tested is None else tested.union(pairs)
 
@@ -316,34 +384,28 @@ def near_duplicates(ws: Workspace, docs: DataFrame, rule: Similarity) -> DataFra
     sets = both.where("node IS NOT NULL").select("doc_id", "key", "n", "node")
     levels = token_levels(both.where("block IS NOT NULL").select("block", "counts"))
     first = ws.save(class_prefixes(keyed, levels, rule), "prefixes")
-    tokens = first.select("node", F.explode("tokens").alias("token"))
+    tokens = first.select("node", F.posexplode("tokens").alias("place", "token"))
     repeated = ws.save(
         tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token"), "tokens"
     )
-    shared = ws.save(tokens.join(repeated, "token").distinct(), "shared")
+    shared = tokens.join(repeated, "token").groupBy("token", "node").agg(F.min("place").alias("place"))
+    shared = ws.save(shared, "shared")
     # Tokens of one class only, named by several tasks, propose nothing.
     several = shared.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     shared = ws.save(shared.join(ws.save(several.select("token"), "several"), "token"), "shared")
     # The fewer tokens of its own a class has, the more central it is.
     own = ws.save(shared.groupBy("node").agg(F.count("*").alias("n_shared")), "own")
-    sizes = sets.groupBy("node").agg(F.min("n").alias("n"), F.min("key").alias("key"))
-    prefix = F.col("n") - F.ceil(F.col("n") * rule.percent / 100) + 1
+    sizes = sets.groupBy("node").agg(F.min("n").alias("size"), F.min("key").alias("key"))
+    prefix = F.col("size") - F.ceil(F.col("size") * rule.percent / 100) + 1
     alone = F.least(F.floor(1000 * (1 - F.col("n_shared") / prefix)), F.lit(1000))
     rank = F.greatest(alone, F.lit(0)).cast("long") * (1 << 50) + F.shiftrightunsigned("node", 14)
     ranked = ws.save(
-        own.join(sizes, "node").select("node", "key", rank.alias("rank")), "ranked"
-    )
-    shared = ws.save(shared.join(ranked.select("node", "rank"), "node"), "shared")
-    # One document of each class that may have a partner carries its text.
-    chosen = ranked.select("key", "node")
-    if ranked.count() <= BROADCAST_ROWS:
-        chosen = F.broadcast(chosen)
-    texts = ws.save(
-        keyed.select("key", "body").join(chosen, "key").dropDuplicates(["node"]).select("node", "body"), "texts"
+        own.join(sizes, "node").select("node", "size", "key", rank.alias("rank")), "ranked"
     )
-    others = first.join(ranked.select("node"), "node", "left_semi").select("node", "others")
-    others = ws.save(others.dropDuplicates(["node"]), "others")
-    join = _Join(ws, rule, shared, others, texts)
+    left = (F.col("size") - F.col("place")).alias("left")
+    shared = shared.join(ranked, "node").select("token", "node", left, "size", "rank")
+    shared = ws.save(shared, "shared")
+    join = _Join(ws, rule, keyed.select("key", "body"), shared, levels, ranked.select("node", "key"))
     links = labels = tested = None
     rows = join.labelled(None)
     classes = ranked.count()
@@ -352,7 +414,7 @@ def near_duplicates(ws: Workspace, docs: DataFrame, rule: Similarity) -> DataFra
         if (n or 0) <= PAIRS_PER_CLASS * classes:
             break
         new, tested = join.test(join.stars(rows), tested)
-        if new.isEmpty():
+        if new.isEmpty():  # the same centres again
             break
         links = new if links is None else links.union(new)
         labels = components(ws, links)
