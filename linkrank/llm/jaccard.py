@@ -135,15 +135,18 @@ def document_sets(docs: DataFrame, rule: Similarity) -> DataFrame:
     )
 
 
-def token_levels(partial: DataFrame) -> np.ndarray:
-    """The sketch: for each counter the logarithm of its count, one byte each."""
+def token_levels(partial: DataFrame, tokens: int) -> np.ndarray:
+    """The sketch: 16 bits of each counter's count. Where an average count is large, its low
+    bits are left out, well below what counts of equally rare tokens differ by."""
+    mean = tokens >> SKETCH_BITS
+    shift = max(0, mean.bit_length() - 12)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: np.ndarray | None = None
         block = None
 
         def level() -> pa.RecordBatch:
-            levels = np.log2(np.maximum(total, 1)).astype(np.uint8).tobytes()
+            levels = np.minimum(total >> shift, 65535).astype("<u2").tobytes()
             return pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int32()), pa.array([levels], pa.binary())], names=["block", "levels"]
             )
@@ -164,20 +167,21 @@ def token_levels(partial: DataFrame) -> np.ndarray:
         .mapInArrow(add, "block int, levels binary")
         .toArrow()
     )
-    out = np.zeros(1 << SKETCH_BITS, np.uint8)
+    out = np.zeros(1 << SKETCH_BITS, np.uint16)
     for b, levels in zip(found["block"].to_pylist(), found["levels"].to_pylist(), strict=True):
-        out[b * SKETCH_BLOCK : (b + 1) * SKETCH_BLOCK] = np.frombuffer(levels, np.uint8)
+        out[b * SKETCH_BLOCK : (b + 1) * SKETCH_BLOCK] = np.frombuffer(levels, "<u2")
     return out
 
 
-def order_key(tokens: np.ndarray, levels: np.ndarray | None, order: int) -> np.ndarray:
-    """Places of tokens in one order: by level, then by a hash; by the hash alone without."""
+def order_key(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
+    """Places of tokens in one order: by count, then by a hash; by coarse counts in order 1,
+    by the hash alone in order 2."""
     mixed = tokens * np.uint64(0x9E3779B97F4A7C15 + 2 * order * 0x632BE59BD9B4E019 & _MASK)
     mixed ^= mixed >> np.uint64(31)
-    if levels is None:
+    if order == 2:
         return mixed
     level = levels[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
-    return level << np.uint64(58) | mixed >> np.uint64(6)
+    return level >> np.uint64(4 * order) << np.uint64(48) | mixed >> np.uint64(16)
 
 
 def smallest(tokens: np.ndarray, key: np.ndarray, take: int) -> np.ndarray:
@@ -228,7 +232,7 @@ def other_orders(docs: DataFrame, levels: np.ndarray, rule: Similarity) -> DataF
                 sizes.append(n)
                 part = smallest(tokens, order_key(tokens, levels, 1), rule.prefix(n))
                 second.append(part.view(np.int64).astype(np.int32))
-                part = smallest(tokens, order_key(tokens, None, 2), rule.longer(n))
+                part = smallest(tokens, order_key(tokens, levels, 2), rule.longer(n))
                 third.append(part.view(np.int64).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(sizes, pa.int64())]
@@ -382,7 +386,8 @@ def near_duplicates(ws: Workspace, docs: DataFrame, rule: Similarity) -> DataFra
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), body.alias("body"))
     both = ws.save(document_sets(keyed, rule), "sets")
     sets = both.where("node IS NOT NULL").select("doc_id", "key", "n", "node")
-    levels = token_levels(both.where("block IS NOT NULL").select("block", "counts"))
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    levels = token_levels(both.where("block IS NOT NULL").select("block", "counts"), total)
     first = ws.save(class_prefixes(keyed, levels, rule), "prefixes")
     tokens = first.select("node", F.posexplode("tokens").alias("place", "token"))
     repeated = ws.save(
