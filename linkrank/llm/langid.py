@@ -98,7 +98,8 @@ class Model:
         return codes[~again], np.bincount(owner[~again], minlength=len(texts))
 
     def phrases(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Phrases ``[language, text]`` that each automaton needs."""
+        """Phrases ``[language, text]`` that each automaton needs. A character that it does not
+        know belongs to the phrase that follows it."""
         blocks = -(-lengths // BLOCK)
         owner = np.repeat(np.arange(len(lengths)), blocks)
         first = np.repeat(np.cumsum(lengths) - lengths, blocks)
@@ -115,9 +116,10 @@ class Model:
         for k, table in enumerate(self.automata):
             flat, width = table.ravel(), table.shape[1]
             begin = np.maximum(table[1], 1)
-            state = np.ones(len(owner), np.uint16)
+            # The first character of a block begins a phrase, and each that extends none.
+            state = begin[columns[0]]
             count = np.ones(len(owner), np.int64)
-            for n, c in zip(alive, columns, strict=True):
+            for n, c in zip(alive[1:], columns[1:], strict=True):
                 step = flat[state[:n].astype(np.int64) * width + c]
                 stuck = step == 0
                 count[:n] += stuck

@@ -16,7 +16,7 @@ MOST_EPOCHS = 3
 SYMBOLS = "#*$%&|<>"
 SYMBOL_COST = 20.0
 # Rows of a source that share one step of the running sum.
-STEP_ROWS = 10_000
+STEP_ROWS = 1_000
 
 
 def quality(text: Column) -> Column:

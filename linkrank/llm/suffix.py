@@ -78,12 +78,15 @@ def phrases(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     is in one piece; a phrase that a piece's end divides counts as two, in each of which the
     comparison finds its share.
     """
-    if len(text) > PIECE:
-        found = []
-        for at in range(0, len(text) - length + 1, PIECE):
-            grams, first, count = phrases(text[at : at + PIECE + length - 1], length)
-            found.append((grams, first + at, count))
-        return tuple(map(np.concatenate, zip(*found, strict=True)))
+    starts = range(0, max(len(text) - length, 0) + 1, PIECE)
+    found = []
+    for at in starts:
+        grams, first, count = _piece_phrases(text[at : at + PIECE + length - 1], length)
+        found.append((grams, first + at, count))
+    return found[0] if len(found) == 1 else tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
+def _piece_phrases(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     empty = np.zeros(0, np.int64)
     if len(text) < length:
         return empty.view(np.uint64), empty, empty
