@@ -16,7 +16,7 @@ def main() -> None:
     parser.add_argument("--iterations", type=int, default=Config.iterations)
     parser.add_argument("--damping", type=float, default=Config.damping)
     parser.add_argument("--threshold-factor", type=float, default=Config.threshold_factor)
-    parser.add_argument("--single-file", action="store_true")
+    parser.add_argument("--graph-format", choices=("parquet", "text"), default=Config.graph_format)
     parser.add_argument("--inlinks", action="store_true", help="publish the inlink lists too")
     args = parser.parse_args()
 
@@ -27,7 +27,7 @@ def main() -> None:
         iterations=args.iterations,
         damping=args.damping,
         threshold_factor=args.threshold_factor,
-        single_file=args.single_file,
+        graph_format=args.graph_format,
         write_inlinks=args.inlinks,
     )
     published = publish_ranking(spark, config)

@@ -22,10 +22,10 @@ BUILD_ROWS = 4_000_000
 class RankGraph:
     """Tables an iteration reads again and again.
 
-    ``edges(src, dst, copies)`` and ``pages(page, deg)`` name pages by title. In a large
-    graph they name them by id, with ``title`` beside ``page``, and are bucketed: edges
-    by ``src`` (and by salt when some sources are hot), pages by ``page``. ``buckets``
-    is the number of buckets, 0 for a small graph; shuffles use ``tasks``.
+    ``edges(src, dst, copies)`` and ``pages(page, deg, title)`` name pages by id and are
+    bucketed: edges by ``src`` (and by salt when some sources are hot), pages by ``page``.
+    ``buckets`` is the number of buckets; shuffles use ``tasks``. Laid out by title there
+    are no buckets, and ``pages`` has no ``title``.
     """
 
     edges: DataFrame

@@ -15,7 +15,7 @@ def page_ranks(state: DataFrame) -> DataFrame:
 
 def above_threshold(ranks: DataFrame, n: int, factor: float = THRESHOLD_FACTOR) -> DataFrame:
     """Ranks of at least ``factor / n``, the bound included."""
-    return ranks.where(F.col("pr") >= F.lit(factor / n))
+    return ranks.where(F.col("pr") >= F.lit(factor / max(n, 1)))
 
 
 def sorted_ranks(ranks: DataFrame) -> DataFrame:

@@ -21,8 +21,6 @@ SHARES = "shares"
 HOT_ROWS = 1_000_000
 # Salts per ``limit`` rows.
 LIMIT_SHARES = 8
-# Rows read to estimate which keys are hot. Only the routing depends on it.
-ESTIMATE_ROWS = 50_000_000
 
 
 def hot_limit(total: int, tasks: int, hot_rows: int = HOT_ROWS) -> int:
@@ -38,21 +36,16 @@ def hot_keys(
     return counts.where(F.col(rows) > limit).select(key, shares.cast("int").alias(SHARES))
 
 
-def estimated_hot_keys(
-    rows: DataFrame, key: str, total: int, limit: int, estimate_rows: int = ESTIMATE_ROWS
-) -> DataFrame | None:
+def counted_hot_keys(rows: DataFrame, key: str, total: int, limit: int) -> DataFrame | None:
     """Hot keys of a table whose per-key counts are not known, or None if there are none.
 
-    Counts a random part of a large table. A wrong estimate only changes how evenly
-    rows spread; every row is joined all the same. The keys found (about total / limit
-    at most) are fixed on the driver, so that both sides of a join see the same salts.
+    Counts every row, summed per task before the shuffle. The keys found (at most
+    total / limit) are fixed on the driver, so that both sides of a join see the same salts.
     """
     if total <= limit:
         return None
-    part = min(1.0, estimate_rows / total)
-    seen = rows.select(key) if part == 1.0 else rows.select(key).sample(part, seed=7)
-    counts = seen.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    found = hot_keys(counts, key, "rows", limit * part).collect()
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    found = hot_keys(counts, key, "rows", limit).collect()
     if not found:
         return None
     schema = f"`{key}` {dict(rows.dtypes)[key]}, {SHARES} int"

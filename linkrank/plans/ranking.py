@@ -15,7 +15,7 @@ from linkrank.operators import ranks as r
 from linkrank.operators.pages import page_links
 from linkrank.operators.skew import (
     HOT_ROWS,
-    estimated_hot_keys,
+    counted_hot_keys,
     hot_keys,
     hot_limit,
     join_keys,
@@ -24,11 +24,9 @@ from linkrank.operators.skew import (
 from linkrank.plans.workspace import Workspace, shuffle_tasks, shuffled_into
 
 ITERATIONS = 8
-# Below this many links the iterations run on plain tables.
-BUCKET_LINKS = 2_000_000
 # Links one task should take: at most this many, whatever the session's number of shuffle
 # partitions, and not fewer than these where the session has partitions to spare.
-TASK_LINKS = 20_000_000
+TASK_LINKS = 4_000_000
 SPARE_TASK_LINKS = 50_000
 # Iterations planned as one job before the state is written.
 STEPS_PER_WRITE = 4
@@ -36,10 +34,9 @@ STEPS_PER_WRITE = 4
 
 @dataclass(frozen=True)
 class Layout:
-    """When to split keys and when to bucket; the defaults suit a large cluster."""
+    """When to split keys, and how much a task takes; the defaults suit a large cluster."""
 
     hot_rows: int = HOT_ROWS
-    bucket_links: int = BUCKET_LINKS
     task_links: int = TASK_LINKS
     steps_per_write: int = STEPS_PER_WRITE
 
@@ -89,7 +86,7 @@ def link_graph_from_pairs(
     limit = hot_limit(size.links, tasks, layout.hot_rows)
 
     links = g.merge_copies(pairs) if size.records > 1 else g.single_copies(pairs)
-    hot_targets = estimated_hot_keys(pairs, "dst", size.links, limit)
+    hot_targets = counted_hot_keys(pairs, "dst", size.links, limit)
     with shuffled_into(ws.spark, tasks):
         edges = ws.save(g.existing_links(links, nodes, hot_targets), "edges")
     return LinkGraph(edges, nodes, size.n, size.links, size.longest, limit, tasks)
@@ -106,8 +103,8 @@ def rank_graph(
 ) -> r.RankGraph:
     """Lay the graph out for iterations.
 
-    A large graph is numbered and bucketed: each iteration then shuffles an id and a
-    number per link instead of a title, and shuffles the edges themselves never.
+    It is numbered and bucketed: each iteration shuffles an id and a number per target
+    and task instead of a title, and shuffles the edges themselves never.
     ``by_title`` keeps titles, for those who read the steps and not only the ranks.
     """
     nodes, hot = graph.nodes, None
@@ -115,7 +112,7 @@ def rank_graph(
         hot = hot_keys(nodes, "page", "links", graph.limit).withColumnRenamed("page", "src")
         hot = ws.save(hot, "hot_sources")
 
-    if by_title or graph.links < layout.bucket_links:
+    if by_title:
         edges = salted(graph.edges.drop("dst_id"), hot, "src", F.col("dst"))
         with shuffled_into(ws.spark, graph.tasks):
             pages = ws.save(g.page_degrees(nodes, edges), "pages")

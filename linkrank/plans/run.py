@@ -34,8 +34,7 @@ class Config:
     threshold_factor: float = THRESHOLD_FACTOR
     start_tag: str = START_TAG
     end_tag: str = END_TAG
-    graph_format: str = "text"
-    single_file: bool = False
+    graph_format: str = "parquet"
     write_inlinks: bool = False
     temporary: str | None = None
     layout: Layout = field(default_factory=Layout)
@@ -59,9 +58,16 @@ def publish_ranking(spark: SparkSession, config: Config) -> Published:
     of these iterations stays in the workspace.
     """
     ws = Workspace(spark, config.temporary)
+    try:
+        return _publish(ws, config)
+    finally:
+        ws.forget_tables()
+
+
+def _publish(ws: Workspace, config: Config) -> Published:
     results = f"{config.output.rstrip('/')}/results"
 
-    records = read_pages(spark, config.input, config.start_tag, config.end_tag)
+    records = read_pages(ws.spark, config.input, config.start_tag, config.end_tag)
     links = link_graph_from_pages(ws, parse_pages(records), config.layout)
 
     published = Published(
@@ -72,10 +78,10 @@ def publish_ranking(spark: SparkSession, config: Config) -> Published:
         inlinks=f"{results}/inlink.out" if config.write_inlinks else None,
     )
     lists = g.outlinks(links.edges, links.nodes)
-    sinks.write_outlinks(lists, published.outlinks, config.graph_format, config.single_file)
+    sinks.write_outlinks(lists, published.outlinks, config.graph_format)
     if published.inlinks:
         parents = g.inlinks(links.edges, links.nodes)
-        sinks.write_inlinks(parents, published.inlinks, config.graph_format, config.single_file)
+        sinks.write_inlinks(parents, published.inlinks, config.graph_format)
     sinks.write_count(g.page_count(links.nodes), published.count)
 
     graph = rank_graph(ws, links, config.layout)
@@ -84,6 +90,5 @@ def publish_ranking(spark: SparkSession, config: Config) -> Published:
     )
     for i, path in published.ranks.items():
         top = above_threshold(kept[i], graph.n, config.threshold_factor)
-        sinks.write_sorted(top, path, single_file=config.single_file)
-    ws.forget_tables()
+        sinks.write_sorted(top, path)
     return published

@@ -1,59 +1,36 @@
 """Writers for results.
 
-Each result is a folder of part files, in order where the result is ordered. With
-``single_file`` a result small enough for one task is one part file; a larger one stays
-in parts, which read in name order are the same text.
+Each result is a folder of part files. Where the result is ordered, so are the parts: read in
+name order, or concatenated, they are one text.
 """
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.operators.results import sorted_ranks
 from linkrank.sources.results import PARQUET
 
-# Text one task may write when a single file is asked for.
-SINGLE_FILE_BYTES = 1 << 30
-
-log = logging.getLogger(__name__)
-
-
-def _fits_one_file(lines: DataFrame) -> bool:
-    size = lines.agg(F.sum(F.octet_length("value") + F.lit(1).cast("bigint"))).first()[0] or 0
-    if size > SINGLE_FILE_BYTES:
-        log.warning("result of %d bytes stays in ordered part files", size)
-    return size <= SINGLE_FILE_BYTES
-
-
-def _write(df: DataFrame, line: Column, path: str, format: str, single_file: bool) -> None:
+def _write(df: DataFrame, line: Column, path: str, format: str) -> None:
     if format == PARQUET:
         df.write.parquet(path)
         return
-    lines = df.select(line.alias("value"))
-    if single_file and _fits_one_file(lines):
-        lines = lines.repartition(1)
-    lines.write.text(path)
+    df.select(line.alias("value")).write.text(path)
 
 
 def _list_line(name: str) -> Column:
     return F.concat_ws("\t", "page", F.array_join(name, " "))
 
 
-def write_outlinks(
-    lists: DataFrame, path: str, format: str = PARQUET, single_file: bool = False
-) -> None:
+def write_outlinks(lists: DataFrame, path: str, format: str = PARQUET) -> None:
     """``page <tab> child child …``; a dangling page has no children."""
-    _write(lists, _list_line("outlinks"), path, format, single_file)
+    _write(lists, _list_line("outlinks"), path, format)
 
 
-def write_inlinks(
-    lists: DataFrame, path: str, format: str = PARQUET, single_file: bool = False
-) -> None:
+def write_inlinks(lists: DataFrame, path: str, format: str = PARQUET) -> None:
     """``page <tab> parent parent …``."""
-    _write(lists, _list_line("inlinks"), path, format, single_file)
+    _write(lists, _list_line("inlinks"), path, format)
 
 
 def write_count(counted: DataFrame, path: str) -> None:
@@ -64,7 +41,7 @@ def write_count(counted: DataFrame, path: str) -> None:
 def write_rank_matrix(matrix: DataFrame, path: str, format: str = PARQUET) -> None:
     """``page rank child child …``."""
     line = F.concat_ws(" ", "page", F.col("pr").cast("string"), F.array_join("outlinks", " "))
-    _write(matrix, line, path, format, False)
+    _write(matrix, line, path, format)
 
 
 def write_ranks(ranks: DataFrame, path: str) -> None:
@@ -72,16 +49,11 @@ def write_ranks(ranks: DataFrame, path: str) -> None:
     ranks.select("page", "pr").write.parquet(path)
 
 
-def write_sorted(
-    ranks: DataFrame, path: str, format: str = "text", single_file: bool = False
-) -> None:
+def write_sorted(ranks: DataFrame, path: str, format: str = "text") -> None:
     """``page <tab> rank``, highest rank first across the part files in name order."""
     line = F.concat_ws("\t", "page", F.col("pr").cast("string"))
     in_order = sorted_ranks(ranks)
     if format == PARQUET:
         in_order.write.parquet(path)
-    elif single_file and _fits_one_file(ranks.select(line.alias("value"))):
-        one = ranks.repartition(1).sortWithinPartitions(F.desc("pr"), "page")
-        one.select(line).write.text(path)
     else:
         in_order.select(line).write.text(path)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,21 +15,44 @@ def read_pages(
     start_tag: str = START_TAG,
     end_tag: str = END_TAG,
 ) -> DataFrame:
-    """``xml``: one row per block from a start tag to the next end tag.
+    """``xml``: one row per block, from a start tag to the next end tag.
 
-    The start tag is the line separator of a text read, so files split, decompress and
-    list as any text does. A block that never ends is dropped. Text before the first
-    start tag of a file is not a record either: it can hold an end tag only where the
-    start tag carried attributes, and such a start tag is looked for there.
+    The end tag is the line separator of a text read, so files split, decompress and list as
+    any text does, and a record is a chunk from its first start tag on, wherever splits fall.
+    Only a file's last chunk may lack its end tag; where a file is cut inside a block, that
+    chunk is dropped.
     """
-    chunks = spark.read.option("lineSep", start_tag).text(path)
-    block = F.substring_index("value", end_tag, 1)
-    ended = F.contains(F.col("value"), F.lit(end_tag))
-    if start_tag.endswith(">"):
-        first_split = F.col("_metadata.file_block_start") == 0
-        # The plain search spares nearly every record the pattern.
-        opened = F.contains(block, F.lit(start_tag[:-1]))
-        ended &= ~(first_split & opened & block.rlike(re.escape(start_tag[:-1]) + r"\s"))
-    return chunks.where(ended).select(
-        F.concat(F.lit(start_tag), block, F.lit(end_tag)).alias("xml")
+    chunks = _chunks(spark, path, end_tag)
+    records = chunks.where(F.contains("value", F.lit(start_tag)))
+    block = F.substr("value", F.locate(start_tag, F.col("value")))
+    return records.join(
+        F.broadcast(_cut_tails(spark, path, start_tag, end_tag)), ["file", "id"], "left_anti"
+    ).select(F.concat(block, F.lit(end_tag)).alias("xml"))
+
+
+def _chunks(spark: SparkSession, path: str | list[str], separator: str) -> DataFrame:
+    """``(value, file, place, id)``: chunks, and where a file's chunks stand in it."""
+    chunks = spark.read.option("lineSep", separator).text(path)
+    row = F.monotonically_increasing_id()
+    return chunks.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), row.alias("id")).alias("place"),
+        row.alias("id"),
     )
+
+
+def _cut_tails(
+    spark: SparkSession, path: str | list[str], start_tag: str, end_tag: str
+) -> DataFrame:
+    """``(file, id)``: the last chunks of files that end inside a block, one row a file.
+
+    An end tag less its last character separates even a last complete block from what
+    follows, if only that character: so a file is cut if the last such piece holds a start
+    tag. Both reads look for separators only; no markup is parsed.
+    """
+    pieces = _chunks(spark, path, end_tag[:-1])
+    opened = F.contains("value", F.lit(start_tag))
+    cut = pieces.groupBy("file").agg(F.max_by(opened, "place").alias("cut")).where("cut")
+    last = _chunks(spark, path, end_tag).groupBy("file").agg(F.max("place").alias("place"))
+    return last.join(cut, "file").select("file", F.col("place.id").alias("id"))

@@ -57,6 +57,9 @@ def read_rank_matrix(spark: SparkSession, path: str, format: str = PARQUET) -> D
 
 def read_ranks(spark: SparkSession, path: str, format: str = PARQUET) -> DataFrame:
     """``(page, pr)``, from ranks, sorted ranks or a rank matrix; one row per page."""
-    if format == PARQUET:
-        return spark.read.parquet(path).select("page", "pr")
-    return read_rank_matrix(spark, path, TEXT).select("page", "pr")
+    ranks = spark.read.parquet(path) if format == PARQUET else read_rank_matrix(spark, path, TEXT)
+    if "part" in ranks.columns:
+        return ranks.where("part = 0").select("page", "pr")
+    # A long page's rows in text repeat its rank digit by digit.
+    ranks = ranks.select("page", "pr")
+    return ranks.distinct() if format == TEXT else ranks

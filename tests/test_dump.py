@@ -69,6 +69,46 @@ def test_split_files_lose_and_repeat_nothing(spark, tmp_path, suffix):
     assert sorted(found) == sorted(title.replace(" ", "_") for title in titles)
 
 
+def sequential(text: str) -> list[str]:
+    """The rule itself: from a start tag to the next end tag, over and over."""
+    found, at = [], 0
+    while (start := text.find("<page>", at)) >= 0 and (end := text.find("</page>", start)) >= 0:
+        found.append(text[start : end + 7])
+        at = end + 7
+    return found
+
+
+NESTED = "<page>a</page><page>b <page id=\"2\"> c</page>\n"
+
+
+@pytest.mark.parametrize("split", ["16384", "65536", "1g"])
+@pytest.mark.parametrize("suffix", [".xml", ".xml.bz2"])
+@pytest.mark.parametrize(
+    "text",
+    [
+        NESTED * 2000,
+        "rest</text></page>" + NESTED * 50,
+        "<mediawiki><pagex>x</page><page>a</page>",
+        "<page>a</page><page>b <page>c</page>" * 300 + "<page>cut",
+        '<page id="1">x</page>' + NESTED * 300 + "</mediawiki>",
+        "<page>whole</page><page>cut " + "x" * 100_000,
+        "<page>whole</page><page>cut </pag",
+    ],
+)
+def test_records_are_those_of_a_sequential_scan(spark, tmp_path, text, suffix, split):
+    path = tmp_path / f"dump{suffix}"
+    data = text.encode()
+    path.write_bytes(bz2.compress(data, 1) if suffix.endswith("bz2") else data)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, split)
+    try:
+        found = [row.xml for row in read_pages(spark, str(path)).collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(found) == sorted(sequential(text))
+
+
 def test_several_files(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}.xml").write_text(f"<page>{name}</page>")

@@ -108,7 +108,7 @@ def test_long_lists_continue_in_further_rows(spark, row_links):
     assert [row.outlinks for row in lists if row.page == "t1"] == [[]]
 
 
-@pytest.mark.parametrize("layout", [Layout(), Layout(hot_rows=2, bucket_links=0)])
+@pytest.mark.parametrize("layout", [Layout(), Layout(hot_rows=2)])
 def test_empty_dump(spark, ws, layout):
     links = link_graph_from_pages(ws, pages_of(spark, [("NoBody", None)]), layout)
     assert g.outlinks(links.edges, links.nodes).count() == 0
@@ -118,4 +118,4 @@ def test_empty_dump(spark, ws, layout):
 
 def test_pages_without_any_link(spark, ws):
     graph = graph_from_pages(ws, pages_of(spark, [("A", "x"), ("B", "")]))
-    assert sorted((r.page, r.deg) for r in graph.pages.collect()) == [("A", 0), ("B", 0)]
+    assert sorted((r.title, r.deg) for r in graph.pages.collect()) == [("A", 0), ("B", 0)]

@@ -19,7 +19,7 @@ from tests import brute
 from tests.test_graph import RECORDS, pages_of
 
 
-BUCKETED = Layout(bucket_links=0, task_links=2)
+BUCKETED = Layout(task_links=2)
 
 
 def plan(df) -> str:
@@ -75,7 +75,7 @@ def test_ranks_read_only_their_columns(spark, ws):
     graph = graph_from_pages(ws, pages_of(spark, RECORDS))
     state = ws.save(r.init_ranks(graph.pages, graph.n), "state")
     text = plan(sorted_ranks(above_threshold(page_ranks(state), graph.n)))
-    assert "ReadSchema: struct<page:string,pr:double>" in text
+    assert "ReadSchema: struct<page:bigint,pr:double>" in text
     assert "GreaterThanOrEqual(pr" in text and "rangepartitioning(pr" in text
 
 
@@ -102,8 +102,8 @@ def test_workspace_follows_the_session_setting(spark):
 
 def test_shuffles_fit_the_graph(spark, ws):
     small = graph_from_pages(ws, pages_of(spark, RECORDS))
-    assert small.tasks == 1 and small.buckets == 0
-    graph = graph_from_pages(ws, pages_of(spark, RECORDS), Layout(bucket_links=0, task_links=1))
+    assert small.tasks == small.buckets == 1
+    graph = graph_from_pages(ws, pages_of(spark, RECORDS), Layout(task_links=1))
     assert graph.tasks == graph.buckets == 12
     files = graph.edges.select(F.input_file_name()).distinct().count()
     assert files > 1

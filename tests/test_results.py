@@ -7,7 +7,6 @@ import pytest
 from linkrank import sinks, sources
 from linkrank.operators import graph as g
 from linkrank.plans.run import Config, publish_ranking
-from linkrank.sinks import results
 from tests import brute
 from tests.test_graph import RECORDS
 from tests.test_ranks import as_dict, random_records
@@ -103,29 +102,36 @@ def many(spark):
     return ranks.repartition(8)
 
 
-@pytest.mark.parametrize("single_file", [False, True])
-def test_sorted_text_is_in_order_across_parts(spark, tmp_path, many, single_file):
+def test_sorted_text_is_in_order_across_parts(spark, tmp_path, many):
     path = str(tmp_path / "sorted")
-    sinks.write_sorted(many, path, single_file=single_file)
-    assert not single_file or len(parts(path)) == 1
-    written = [line.split("\t") for line in lines(path)]
-    expected = sorted(((row.page, row.pr) for row in many.collect()), key=lambda x: (-x[1], x[0]))
-    assert [(page, float(pr)) for page, pr in written] == expected
-
-
-def test_results_too_large_for_one_file_stay_in_ordered_parts(
-    spark, tmp_path, many, monkeypatch, caplog
-):
-    monkeypatch.setattr(results, "SINGLE_FILE_BYTES", 1000)
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(key, "false")
     try:
-        sinks.write_sorted(many, str(tmp_path / "s"), single_file=True)
+        sinks.write_sorted(many, path)
     finally:
         spark.conf.unset(key)
-    assert len(parts(tmp_path / "s")) > 1 and len(lines(tmp_path / "s")) == 5000
-    values = [float(line.split("\t")[1]) for line in lines(tmp_path / "s")]
-    assert values == sorted(values, reverse=True)
+    assert len(parts(path)) > 1
+    written = [line.split("\t") for line in lines(path)]
+    expected = sorted(((row.page, row.pr) for row in many.collect()), key=lambda x: (-x[1], x[0]))
+    assert [(page, float(pr)) for page, pr in written] == expected
+
+
+def test_split_matrix_resumes_with_one_rank_a_page(spark, tmp_path):
+    rows = [("A", 0, 0.25, ["B"]), ("A", 1, 0.25, ["C"]), ("B", 0, 0.25, [])]
+    matrix = spark.createDataFrame(rows, "page string, part int, pr double, outlinks array<string>")
+    for format in ("text", "parquet"):
+        path = str(tmp_path / format)
+        sinks.write_rank_matrix(matrix, path, format)
+        found = sources.read_ranks(spark, path, format).collect()
+        assert sorted((row.page, row.pr) for row in found) == [("A", 0.25), ("B", 0.25)]
+
+
+def test_empty_dump_publishes_empty_results(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.xml").write_text("<mediawiki></mediawiki>")
+    published = publish_ranking(spark, Config(str(tmp_path / "in"), str(tmp_path / "out")))
+    assert published.n == 0 and lines(published.count) == ["N=0"]
+    assert [lines(path) for path in published.ranks.values()] == [[], []]
 
 
 def test_whole_run(spark, tmp_path):
@@ -134,7 +140,7 @@ def test_whole_run(spark, tmp_path):
         input=dump(tmp_path / "in", records),
         output=str(tmp_path / "out"),
         threshold_factor=2.0,
-        single_file=True,
+        graph_format="text",
         write_inlinks=True,
         temporary=str(tmp_path / "work"),
     )
@@ -143,7 +149,7 @@ def test_whole_run(spark, tmp_path):
     assert published.n == len(pages) == sources.read_count(spark, published.count)
     assert lines(published.count) == [f"N={len(pages)}"]
     out = sources.read_outlinks(spark, published.outlinks, "text").collect()
-    assert {row.page for row in out} == pages and len(parts(published.outlinks)) == 1
+    assert {row.page for row in out} == pages
     assert sorted((row.page, link) for row in out for link in row.outlinks) == sorted(
         edges.elements()
     )

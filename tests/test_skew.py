@@ -32,20 +32,15 @@ def test_limit():
 
 
 def test_hot_keys_are_bounded(pairs):
-    hot = skew.estimated_hot_keys(pairs, "dst", 3000, 100)
+    hot = skew.counted_hot_keys(pairs, "dst", 3000, 100)
     found = {row.dst: row.shares for row in hot.collect()}
     assert found == {"hub": 80, "gone": 80}
-    assert skew.estimated_hot_keys(pairs, "dst", 3000, 5000) is None
-    assert skew.estimated_hot_keys(pairs, "dst", 3000, 2999) is None
-
-
-def test_estimate_from_a_part_finds_the_same_keys(pairs):
-    hot = skew.estimated_hot_keys(pairs, "dst", 3000, 300, estimate_rows=1000)
-    assert {row.dst for row in hot.collect()} == {"hub", "gone"}
+    assert skew.counted_hot_keys(pairs, "dst", 3000, 5000) is None
+    assert skew.counted_hot_keys(pairs, "dst", 3000, 2999) is None
 
 
 def test_hot_rows_spread(pairs):
-    hot = skew.estimated_hot_keys(pairs, "dst", 3000, 100)
+    hot = skew.counted_hot_keys(pairs, "dst", 3000, 100)
     sizes = skew.salted(pairs, hot, "dst", F.col("src")).groupBy("dst", "salt").count()
     assert sizes.agg(F.max("count")).first()[0] < 50
     cold = sizes.where("dst not in ('hub', 'gone')").agg(F.max("salt")).first()[0]
@@ -55,7 +50,7 @@ def test_hot_rows_spread(pairs):
 @pytest.mark.parametrize("limit", [1, 100, 5000])
 def test_salting_keeps_the_join(pairs, nodes, limit):
     links = g.single_copies(pairs)
-    hot = skew.estimated_hot_keys(pairs, "dst", 3000, limit)
+    hot = skew.counted_hot_keys(pairs, "dst", 3000, limit)
     found = g.existing_links(links, nodes, hot)
     expected = links.join(nodes.withColumnRenamed("page", "dst"), "dst", "left_semi")
     assert found.columns == ["src", "dst", "copies"]

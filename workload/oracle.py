@@ -113,6 +113,7 @@ ORACLE = {
         UNION ALL SELECT 8, title, round(pr, 12) FROM r8""",
     "rank_matrix8": _ranked(_WIKI) + _MATRIX,
     "rank_resumed": _ranked(_WIKI) + _RANKS.format(i=8),
+    "rank_resumed_from_matrix": _ranked(_WIKI) + _RANKS.format(i=8),
     "sorted_iter8": _ranked(_WIKI) + _RANKS.format(i=8) + " ORDER BY r8.pr DESC, page",
     "top_ranked": _ranked(_WIKI) + _TOP,
     "parts_edges": _PARTS + _EDGES,

@@ -208,6 +208,18 @@ def rank_resumed(spark, sf_dir):
     return _ranks(rank_pages(ws, graph, start=start, done=3)[ITERATIONS])
 
 
+def rank_resumed_from_matrix(spark, sf_dir):
+    """Three iterations, a text matrix whose long pages take several rows, then the rest."""
+    ws = Workspace(spark)
+    links = _wiki_links(ws, sf_dir)
+    graph = rank_graph(ws, links)
+    lists = g.outlinks(links.edges, links.nodes, row_links=1)
+    matrix = r.rank_matrix(rank_pages(ws, graph, iterations=3)[3], lists)
+    sinks.write_rank_matrix(matrix, ws.path("matrix3.out"), format="text")
+    start = sources.read_ranks(spark, ws.path("matrix3.out"), format="text")
+    return _ranks(rank_pages(ws, graph, start=start, done=3)[ITERATIONS])
+
+
 def sorted_iter8(spark, sf_dir):
     ws = Workspace(spark)
     return sorted_ranks(rank_pages(ws, _wiki_graph(ws, sf_dir))[ITERATIONS]).select(
@@ -285,7 +297,9 @@ def ranked_from_files(spark, sf_dir):
 def count_from_files(spark, sf_dir):
     """The published page count, read back beside the lines of the published graph."""
     ws = Workspace(spark)
-    config = Config(input=_dump(ws, sf_dir), output=ws.path("out"), iterations=1)
+    config = Config(
+        input=_dump(ws, sf_dir), output=ws.path("out"), iterations=1, graph_format="text"
+    )
     published = publish_ranking(spark, config)
     lines = sources.read_outlinks(spark, published.outlinks, format="text")
     return lines.agg(F.countDistinct("page").alias("pages")).withColumn(
@@ -319,6 +333,7 @@ QUERIES = {
         rank_snapshots,
         rank_matrix8,
         rank_resumed,
+        rank_resumed_from_matrix,
         sorted_iter8,
         top_ranked,
         parts_edges,
