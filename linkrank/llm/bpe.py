@@ -1,10 +1,8 @@
 """Byte-level BPE as a finite-state transducer that is made deterministic while it runs.
 
-For a vocabulary in which every token is what its own bytes merge to, the last token of an
-encoded prefix is known from that prefix alone: it is the one token that ends there, begins
-where another prefix ends, and stays apart from that prefix's last token when both are merged
-anew. So the transducer reads bytes one by one and keeps the last token of each prefix that a
-longer token could still start from. As soon as all those prefixes share a common beginning,
+The last token of an encoded prefix is known from that prefix alone, and what stands before
+an emitted token does not change what follows it. So the transducer reads bytes one by one and
+keeps the last token of each prefix that a longer token could still start from. As soon as all those prefixes share a common beginning,
 its tokens are final and are emitted. The lookahead is bounded by the longest token.
 
 A state is the last emitted token and the bytes after it. Transitions are worked out when
@@ -32,6 +30,10 @@ STRETCH = 65_536
 # Characters from which on pieces are not listed all at once.
 LONG_TEXT = 1_000_000
 
+# Bytes of a piece that are read ahead before states are stepped through: a piece that ends
+# by then is a state of its own, whose final output is what its bytes merge to.
+LOOKAHEAD = 24
+
 NO_TOKEN = -1
 
 
@@ -44,13 +46,16 @@ def load_ranks(path: str | Path) -> dict[bytes, int]:
 def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """BPE by definition: the pair of lowest rank merges, the leftmost of equals first."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-        best = min((r for r in pairs if r is not None), default=None)
-        if best is None:
-            break
+    none = len(ranks)
+    pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+    while pairs and (best := min(pairs)) < none:
         at = pairs.index(best)
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
+        if at < len(pairs):
+            pairs[at] = ranks.get(parts[at] + parts[at + 1], none)
     return parts
 
 
@@ -62,8 +67,6 @@ class Transducer:
         self.tokens = {rank: token for token, rank in ranks.items()}
         # Beginnings of longer tokens: where one of them ends, that token may still come.
         self.beginnings = {t[:n] for t in ranks for n in range(1, len(t))}
-        self.alone: dict[bytes, bool] = {}
-        self.apart: dict[tuple[int, bytes], bool] = {}
         self.reset()
 
     def reset(self) -> None:
@@ -73,35 +76,16 @@ class Transducer:
         self.numbers = {(NO_TOKEN, b""): 0}
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
 
-    def follows(self, before: int, token: bytes) -> bool:
-        """Whether a token stays what it is behind another one, or at the start."""
-        if before == NO_TOKEN:
-            if token not in self.alone:
-                self.alone[token] = merge_bytes(token, self.ranks) == [token]
-            return self.alone[token]
-        key = (before, token)
-        if key not in self.apart:
-            if len(self.apart) >= TRANSITIONS:
-                self.apart.clear()
-            first = self.tokens[before]
-            self.apart[key] = merge_bytes(first + token, self.ranks) == [first, token]
-        return self.apart[key]
-
-    def last_token(self, before: int, held: bytes, lasts: tuple[bytes, ...]) -> bytes:
-        """Last token of ``held``, given those of its shorter prefixes."""
-        for start in range(len(held)):
-            token = held[start:]
-            if token in self.ranks:
-                prior = self.ranks[lasts[start - 1]] if start else before
-                if self.follows(prior, token):
-                    return token
-        raise ValueError(f"the vocabulary has no token for byte {held[-1:]!r}")
+    def last_token(self, before: int, held: bytes) -> bytes:
+        """Last token of ``held`` behind an emitted token: that of the two merged anew."""
+        first = b"" if before == NO_TOKEN else self.tokens[before]
+        return merge_bytes(first + held, self.ranks)[-1]
 
     def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The next state and the tokens that have become final."""
         before, held, lasts = self.states[state]
         held += bytes((byte,))
-        lasts += (self.last_token(before, held, lasts),)
+        lasts += (self.last_token(before, held),)
         # Prefixes that a longer token could still follow; step the farthest one back,
         # token by token, until all meet.
         ends = {i for i in range(len(held)) if held[i:] in self.beginnings} | {len(held)}
@@ -133,6 +117,8 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
+        if len(piece) <= LOOKAHEAD:
+            return [self.ranks[token] for token in merge_bytes(piece, self.ranks)]
         if len(self.moves) >= TRANSITIONS:
             self.reset()
         out: list[int] = []
