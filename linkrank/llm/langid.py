@@ -24,6 +24,8 @@ SAMPLE_ROWS = 64
 ROW_CHARS = 500
 # Characters of all samples together; more languages get shorter samples.
 ALL_CHARS = 1_000_000
+# Languages whose counts may be broadcast; with more, the counts are joined by a shuffle.
+BROADCAST_LANGUAGES = 10_000
 # Letters that have a class of their own: the sample's most frequent ones.
 LETTERS = 120
 # Texts are parsed in blocks of so many characters, all blocks of a stretch side by side.
@@ -177,14 +179,18 @@ def remainder(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 5
 
 
-def sample_rows(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``(lang, part)``: a bounded sample of each language's labelled rows that are not held
-    out, chosen by a hash of the row. A first cut by that hash leaves a few times as many
-    rows as are needed, so that no language has to be sorted."""
+def sample_rows(docs: DataFrame, rows: int = SAMPLE_ROWS, languages: int | None = None) -> DataFrame:
+    """``(lang, place, part)``: a bounded sample of each language's labelled rows that are not
+    held out, chosen by a hash of the row. A first cut by that hash leaves a few times as many
+    rows as are needed, so that no language has to be sorted. Where there are at most
+    ``BROADCAST_LANGUAGES``, the cut comes before the shuffle, so that no task gets all rows
+    of a language; ``languages`` is their number if it is known."""
     labelled = docs.where(
         F.col("lang").isNotNull() & (remainder() != 0) & F.col("text").rlike(r"\p{L}")
     )
     known = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    if languages is not None and languages <= BROADCAST_LANGUAGES:
+        known = F.broadcast(known)
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)).cast("double") / float(1 << 40)
     near = (
         labelled.select("lang", draw.alias("draw"), F.substring("text", 1, ROW_CHARS).alias("part"))
@@ -200,7 +206,7 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     languages = max(1, docs.select("lang").distinct().count())
     rows = max(1, min(rows, ALL_CHARS // (ROW_CHARS * languages)))
     samples: dict[str, list[str]] = {}
-    for row in sample_rows(docs, rows).orderBy("lang", "place").collect():
+    for row in sample_rows(docs, rows, languages).orderBy("lang", "place").collect():
         samples.setdefault(row.lang, []).append(row.part)
     return fit(samples)
 

@@ -162,6 +162,14 @@ def test_held_out_accuracy(ws, docs, rows):
         assert 0 <= r.score <= 1
 
 
+def test_language_sample_is_cut_before_the_shuffle(docs):
+    joined, broadcast = langid.sample_rows(docs, 8), langid.sample_rows(docs, 8, 4)
+    key = ["lang", "place"]
+    assert joined.orderBy(key).collect() == broadcast.orderBy(key).collect()
+    text = broadcast._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in text
+
+
 def test_cross_parsing_counts_longest_phrases(rows):
     model = langid.fit({"x": ["abcabd"], "y": ["zzz"]})
     codes, lengths = model.encode(["abdabc", "zzzzz", "abx"])
