@@ -17,7 +17,7 @@ from linkrank.operators.skew import SHARES, hot_keys, join_keys, replicated, sal
 
 # Links in one adjacency row; a page with more continues in further rows.
 ROW_LINKS = 1_000_000
-# Pages that may continue in further rows: bounds the table of them.
+# Pages whose shares are broadcast, those with the longest lists; others get theirs by a join.
 SPLIT_PAGES = 100_000
 
 
@@ -128,7 +128,8 @@ def inlinks(edges: DataFrame, nodes: DataFrame, row_links: int = ROW_LINKS) -> D
 def _adjacency(
     edges: DataFrame, nodes: DataFrame, key: str, other: str, name: str, row_links: int
 ) -> DataFrame:
-    """Lists of at most about ``row_links`` links; ``part`` numbers a page's rows from 0.
+    """Lists of at most about ``row_links`` links, however large the graph is; ``part``
+    numbers a page's rows from 0.
 
     Pages without links take part as a row without a link, which the list ignores, so
     one grouping serves both and no join is needed. Reads ``edges`` first for the sizes
@@ -136,12 +137,12 @@ def _adjacency(
     """
     degrees = edges.groupBy(F.col(key).alias("page")).agg(F.sum("copies").alias("deg"))
     sizes = degrees.agg(F.sum("deg").alias("total"), F.max("deg").alias("longest")).first()
-    limit = max(row_links, math.ceil((sizes.total or 0) / SPLIT_PAGES))
     links = edges.select(F.col(key).alias("page"), F.col(other).alias("link"), "copies")
-    if (sizes.longest or 0) <= limit:
+    if (sizes.longest or 0) <= row_links:
         links = links.withColumn("part", F.lit(0))
     else:
-        links = _numbered_parts(links, hot_keys(degrees, "page", "deg", limit, 1), limit)
+        shared = _with_shares(links, degrees, sizes.total, row_links)
+        links = _numbered_parts(shared, row_links)
     unlinked = nodes.select(
         "page",
         F.lit(None).cast("string").alias("link"),
@@ -153,10 +154,26 @@ def _adjacency(
     return links.unionByName(unlinked).groupBy("page", "part").agg(lists.alias(name))
 
 
-def _numbered_parts(links: DataFrame, hot: DataFrame, limit: int) -> DataFrame:
+def _with_shares(links: DataFrame, degrees: DataFrame, total: int, limit: int) -> DataFrame:
+    """Add how many rows a page's list takes; null for one.
+
+    At most ``SPLIT_PAGES`` pages hold more than ``total / SPLIT_PAGES`` links: theirs are
+    broadcast. All others with several rows are joined by page, and none of those keys
+    holds more links than that.
+    """
+    longest = max(limit, math.ceil(total / SPLIT_PAGES))
+    hot = F.broadcast(hot_keys(degrees.where(F.col("deg") > longest), "page", "deg", limit, 1))
+    if longest == limit:
+        return links.join(hot, "page", "left")
+    other = hot_keys(degrees.where(F.col("deg") <= longest), "page", "deg", limit, 1)
+    cold = links.join(hot, "page", "left_anti").join(other, "page", "left")
+    return cold.unionByName(links.join(hot, "page"))
+
+
+def _numbered_parts(links: DataFrame, limit: int) -> DataFrame:
     """Spread the links of long lists over parts, and many copies of one link as well."""
     chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / F.lit(limit)))
-    chunked = links.join(F.broadcast(hot), "page", "left").withColumn("chunk", F.explode(chunks))
+    chunked = links.withColumn("chunk", F.explode(chunks))
     left_over = F.col("copies") - F.col("chunk") * F.lit(limit)
     part = F.pmod(F.xxhash64("link", "chunk"), F.col(SHARES))
     return chunked.select(

@@ -108,6 +108,20 @@ def test_long_lists_continue_in_further_rows(spark, row_links):
     assert [row.outlinks for row in lists if row.page == "t1"] == [[]]
 
 
+@pytest.mark.parametrize("split_pages", [1, 4, 100])
+def test_rows_of_medium_pages_stay_bounded(spark, monkeypatch, split_pages):
+    monkeypatch.setattr(g, "SPLIT_PAGES", split_pages)
+    rows = [(f"p{k}", f"t{i}", 1) for k in range(12) for i in range(40 * k)]
+    edges = spark.createDataFrame(rows, "src string, dst string, copies bigint")
+    nodes = spark.createDataFrame([(f"p{k}",) for k in range(12)], "page string")
+    lists = g.outlinks(edges, nodes, row_links=20).collect()
+    found = Counter((row.page, link, 1) for row in lists for link in row.outlinks)
+    assert found == Counter(rows)
+    assert len({(row.page, row.part) for row in lists}) == len(lists)
+    assert max(len(row.outlinks) for row in lists) < 50
+    assert [row.outlinks for row in lists if row.page == "p0"] == [[]]
+
+
 @pytest.mark.parametrize("layout", [Layout(), Layout(hot_rows=2)])
 def test_empty_dump(spark, ws, layout):
     links = link_graph_from_pages(ws, pages_of(spark, [("NoBody", None)]), layout)
