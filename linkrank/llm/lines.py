@@ -100,7 +100,8 @@ def _cut(ws: Workspace, docs: DataFrame, window: int) -> DataFrame:
     )
     found = ws.save(starts, "starts")
     same = F.col("doc_id").eqNullSafe(F.col("__line_id")) & (text_key() == F.col("__line_key"))
-    return docs.join(found, same, "left").drop("__line_id", "__line_key")
+    # One plan at every size: the starts grow with the table, so they are never broadcast.
+    return docs.join(found.hint("merge"), same, "left").drop("__line_id", "__line_key")
 
 
 def _cut_text(column: str):
