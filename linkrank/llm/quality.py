@@ -2,12 +2,14 @@
 
 For each language and source a minimum-covariance-determinant estimate gives centre and
 scatter of five transformed statistics: starting from medians and median deviations, each
-concentration step keeps the three quarters of the rows that lie nearest and estimates anew.
-Documents whose Mahalanobis distance is too large are rejected.
+concentration step keeps the three quarters of the rows that lie nearest and estimates anew;
+a last one takes all rows within a chi-square quantile. Documents whose Mahalanobis distance
+is too large are rejected.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from itertools import combinations_with_replacement
@@ -29,13 +31,14 @@ MOST_REPEATED = 30
 GROUP_ROWS = 200
 KEPT_SHARE = 0.75
 STEPS = 5
-# Median of a chi-square with five degrees of freedom, and the squared distance that rejects:
-# far beyond what normal statistics reach, as these are not quite normal.
-CHI_MEDIAN = 4.351
-CUT = 40.0
-# Standard deviations below which a group's statistic is not believed to lie, and the digits
-# that statistics and distances keep: that bounds their distinct values.
-FLOORS = (0.15, 0.05, 0.15, 0.15, 0.02)
+# Shares of normal rows that the last estimate is made from, and that are kept.
+NEAR_SHARE = 0.975
+NORMAL_SHARE = 0.999
+# The share from which symbols and repeats count by their ratio.
+SMALL_SHARE = 0.01
+# Least standard deviations of a group, in any direction, and the digits that statistics and
+# distances keep: that bounds their distinct values.
+FLOORS = (0.15, 0.5, 0.5, 0.5, 0.02)
 DIGITS = 3
 FAR = 10_000.0
 
@@ -43,6 +46,31 @@ STATS = ("word_length", "symbols", "dup_lines", "repeats", "variety")
 PAIRS = tuple(combinations_with_replacement(range(len(STATS)), 2))
 
 
+def chi_square(x: float, degrees: int = len(STATS)) -> float:
+    """Distribution function of a chi-square with an odd number of degrees of freedom."""
+    total = math.erf(math.sqrt(x / 2))
+    for k in range(1, degrees, 2):
+        total -= (x / 2) ** (k / 2) * math.exp(-x / 2) / math.gamma(k / 2 + 1)
+    return total
+
+
+def quantile(share: float) -> float:
+    """The squared distance that such a share of normal rows stays within."""
+    low, high = 0.0, FAR
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(middle) < share else (low, middle)
+    return round(high, DIGITS)
+
+
+def consistency(share: float) -> float:
+    """What the scatter of the nearest rows is too small by, if all rows are normal."""
+    return share / chi_square(quantile(share), len(STATS) + 2)
+
+
+CUT = quantile(NORMAL_SHARE)
+
+
 def repeated_words(codes: np.ndarray, window: int = REPEAT_WINDOW) -> int:
     """Words inside windows that occur twice or more, the first occurrence included."""
     n = len(codes) - window + 1
@@ -106,11 +134,15 @@ def document_statistics(docs: DataFrame) -> DataFrame:
 def transformed() -> list[Column]:
     """The five statistics, on scales where ordinary texts of one kind scatter evenly."""
     words = F.greatest(F.col("n_words"), F.lit(1))
+
+    def share(part: str, whole: Column) -> Column:
+        return F.log1p(F.col(part) / whole / SMALL_SHARE)
+
     columns = (
         F.col("word_chars") / words,
-        F.sqrt(F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))),
-        F.sqrt(F.col("n_dup_lines") / F.col("n_lines")),
-        F.sqrt(F.col("n_repeat_words") / words),
+        share("n_symbols", F.greatest(F.col("word_chars"), F.lit(1))),
+        share("n_dup_lines", F.col("n_lines")),
+        share("n_repeat_words", words),
         F.log(F.col("n_distinct") + 1.0) / F.log(words + 1.0),
     )
     return [F.round(c, DIGITS).alias(s) for c, s in zip(columns, STATS, strict=True)]
@@ -143,19 +175,25 @@ def grouped(ws: Workspace, rows: DataFrame) -> DataFrame:
     return rows.join(kinds, same, "left").drop("_lang", "_source")
 
 
+def floored(scatter: np.ndarray) -> np.ndarray:
+    """The scatter, raised to that of FLOORS in the directions where it is less."""
+    unit = np.outer(FLOORS, FLOORS)
+    values, vectors = np.linalg.eigh(scatter / unit)
+    return (vectors * np.maximum(values, 1.0)) @ vectors.T * unit
+
+
 def inverted(estimates: DataFrame) -> DataFrame:
     """``(kind, c0.., p00..)``: centres and inverse scatter, from one row per kind."""
     names = [f"c{i}" for i in range(len(STATS))] + [f"p{i}{j}" for i, j in PAIRS]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        floor = np.diag(np.square(FLOORS))
         for part in parts:
             rows = []
             for row in part.itertuples(index=False):
                 scatter = np.zeros((len(STATS), len(STATS)))
                 for i, j in PAIRS:
                     scatter[i, j] = scatter[j, i] = getattr(row, f"s{i}{j}") or 0.0
-                inverse = np.linalg.inv(scatter + floor)
+                inverse = np.linalg.inv(floored(scatter))
                 centre = [getattr(row, f"c{i}") for i in range(len(STATS))]
                 rows.append([row.kind, *centre, *(inverse[i, j] for i, j in PAIRS)])
             yield pd.DataFrame(rows, columns=["kind", *names])
@@ -177,8 +215,19 @@ def squared_distance() -> Column:
 
 
 def estimate(ws: Workspace, points: DataFrame) -> DataFrame:
-    """``(kind, c.., p.., scale)``: each kind's estimate and what brings its median squared
-    distance to that of a chi-square. ``points`` are ``(kind, *STATS)``, a written table."""
+    """``(kind, c.., p..)``: each kind's estimate. ``points`` are ``(kind, *STATS)``, a
+    written table."""
+
+    def again(near: DataFrame, share: float) -> DataFrame:
+        def scatter(i: int, j: int) -> Column:
+            return consistency(share) * F.covar_pop(STATS[i], STATS[j])
+
+        found = near.groupBy("kind").agg(
+            *[F.round(F.avg(s), 6).alias(f"c{i}") for i, s in enumerate(STATS)],
+            *[F.round(scatter(i, j), 9).alias(f"s{i}{j}") for i, j in PAIRS],
+        )
+        return ws.save(inverted(found), "model")
+
     medians = points.groupBy("kind").agg(
         *[F.percentile(s, F.lit(0.5)).alias(f"c{i}") for i, s in enumerate(STATS)]
     )
@@ -202,16 +251,9 @@ def estimate(ws: Workspace, points: DataFrame) -> DataFrame:
             far.groupBy("kind").agg(F.percentile("d", F.lit(KEPT_SHARE)).alias("limit")), "limits"
         )
         near = far.join(limits, "kind").where(F.col("d") <= F.col("limit"))
-        again = near.groupBy("kind").agg(
-            *[F.round(F.avg(s), 6).alias(f"c{i}") for i, s in enumerate(STATS)],
-            *[F.round(F.covar_pop(STATS[i], STATS[j]), 9).alias(f"s{i}{j}") for i, j in PAIRS],
-        )
-        model = ws.save(inverted(again), "model")
+        model = again(near, KEPT_SHARE)
     far = points.join(model, "kind").withColumn("d", squared_distance())
-    scale = far.groupBy("kind").agg(
-        F.greatest(F.percentile("d", F.lit(0.5)) / CHI_MEDIAN, F.lit(1.0)).alias("scale")
-    )
-    return ws.save(model.join(scale, "kind"), "estimates")
+    return again(far.where(F.col("d") <= quantile(NEAR_SHARE)), NEAR_SHARE)
 
 
 def quality_rules(ws: Workspace, docs: DataFrame) -> DataFrame:
@@ -219,7 +261,8 @@ def quality_rules(ws: Workspace, docs: DataFrame) -> DataFrame:
     kept, distance)`` of every document.
 
     Base rules fail a document with fewer than 20 words, or with more than 30 % of its words
-    in repeated windows; the estimates leave those out. Null languages and sources are kinds
+    in repeated windows; the estimates leave those out. Others fail beyond the distance that
+    NORMAL_SHARE of normal rows stay within. Null languages and sources are kinds
     like any other. Kinds with fewer than 200 rows are judged together; ``distance`` is null,
     and the base rules decide alone, where even those are too few. Extra columns are ignored.
     """
@@ -233,10 +276,10 @@ def quality_rules(ws: Workspace, docs: DataFrame) -> DataFrame:
     enough = points.groupBy("kind").agg(F.count("*").alias("n")).where(F.col("n") >= GROUP_ROWS)
     kinds = ws.save(enough.select("kind"), "enough")
     estimates = estimate(ws, points.join(kinds, "kind"))
-    distance = F.when(~F.col("base_failed"), squared_distance() / F.col("scale"))
+    distance = F.when(~F.col("base_failed"), squared_distance())
     return (
         rows.join(estimates, "kind", "left")
-        .withColumn("distance", F.round(distance, DIGITS))
+        .withColumn("distance", distance)
         .select(
             "doc_id",
             "n_words",

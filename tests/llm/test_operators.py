@@ -190,6 +190,36 @@ def test_outliers_are_rejected_and_plain_documents_stay(spark, ws):
     assert sum(kept[i] for i in range(400) if i in kept) > 0.98 * sum(i in kept for i in range(400))
 
 
+def test_each_share_alone_rejects(spark, ws):
+    import random
+
+    rng = random.Random(5)
+
+    def text(words: int = 80) -> list[str]:
+        return ["".join(rng.choices("abcdefghijkl", k=5)) for _ in range(words)]
+
+    def lines(words: list[str]) -> list[str]:
+        return [" ".join(words[i : i + 8]) for i in range(0, len(words), 8)]
+
+    plain = ["\n".join(lines(text())) for _ in range(300)]
+    # Three of twelve lines, of one word each; 20 of 100 words; 9 % symbols.
+    odd = {400: "\n".join([*lines(text(72)), "abcde", "abcde", "abcde", "abcde"])}
+    words = text(90)
+    odd[401] = " ".join([*words, *words[:10]])
+    odd[402] = "\n".join(lines([w[:3] + "#$" if i % 9 in (0, 4) else w for i, w in enumerate(text())]))
+    rows = [(i, t, "aa", "s") for i, t in [*enumerate(plain), *odd.items()]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r for r in quality.quality_rules(ws, docs).collect()}
+    assert not any(r.base_failed for r in out.values())
+    assert [i for i in odd if out[i].kept] == []
+    assert sum(out[i].kept for i in range(300)) > 0.98 * 300
+
+
+def test_chi_square():
+    assert abs(quality.quantile(0.975) - 12.833) < 0.001 and abs(quality.CUT - 20.515) < 0.001
+    assert abs(quality.consistency(0.75) - 1.412) < 0.001
+
+
 def test_mix_meets_its_targets(ws, docs, rows):
     out = mixing.mix_sources(ws, docs).collect()
     assert [r.asDict() for r in sorted(out, key=str)] == [
