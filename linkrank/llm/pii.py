@@ -2,9 +2,10 @@
 
 Base patterns find seed entities. Words around the seeds, and around other tokens that hold
 digits or an at sign, are lexical patterns; patterns and instances form a graph. A pattern
-scores by the share of its instances that are known for a kind, an instance by its best
-patterns, in turn. Tokens of a kind's shape that stand in a pattern of high confidence are
-new identifiers. All of it is SQL over columns: no row leaves the JVM.
+scores by its instances that are known for a kind, against those known for others and those
+without the kind's shape: what has the shape and is not known yet speaks for neither. An
+instance scores by its best patterns, in turn. Tokens of a kind's shape that stand in a
+pattern of high confidence are new identifiers. All of it is SQL over columns: no row leaves the JVM.
 """
 
 from __future__ import annotations
@@ -46,8 +47,9 @@ EDGES = r"^[._%+:/#=-]+|[._%+:/#=@-]+$"
 
 @dataclass(frozen=True)
 class Bootstrap:
-    """Rounds of scoring; the share of known instances, and the different ones among them,
-    that make a pattern trustworthy; how sure an instance must be to count as known."""
+    """Rounds of scoring; the share of known instances among those that can be judged, and the
+    different known ones, that make a pattern trustworthy; how sure an instance must be to
+    count as known."""
 
     rounds: int = 3
     confidence: float = 0.9
@@ -215,23 +217,47 @@ def trusted_patterns(ws: Workspace, instances: DataFrame, how: Bootstrap) -> Dat
     seeds = edges.where("kind IS NOT NULL").select("instance", "kind").distinct()
     known = ws.save(seeds.select("instance", "kind", F.lit(1.0).alias("sure")), "known")
     seeds = known
-    total = ws.save(edges.groupBy("pattern").agg(F.sum("n").alias("total")), "totals")
-    flat = ws.save(edges.groupBy("pattern", "instance").agg(F.sum("n").alias("n")), "graph")
+    flat = edges.groupBy("pattern", "instance").agg(F.sum("n").alias("n"))
+    flat = ws.save(flat.withColumn("fits", _fits(F.col("instance"))), "graph")
+
+    def fitting(kind: str) -> Column:
+        return F.array_contains("fits", kind)
+
+    unfit = [F.sum(F.when(~fitting(k), F.col("n")).otherwise(0)).alias(f"unfit_{k}") for k in KINDS]
+    unfit = ws.save(flat.groupBy("pattern").agg(*unfit), "unfit")
     for _ in range(how.rounds):
+        kinds = F.map_from_entries(F.collect_list(F.struct("kind", "sure")))
+        sums = []
+        for k in KINDS:
+            sure = F.try_element_at("sures", F.lit(k))
+            sums += [
+                F.coalesce(F.sum(sure * F.col("n")), F.lit(0.0)).alias(f"hits_{k}"),
+                F.count(sure).alias(f"support_{k}"),
+                F.sum(F.when(fitting(k), F.col("n")).otherwise(0)).alias(f"known_{k}"),
+            ]
+        judged = [
+            F.struct(
+                F.lit(k).alias("kind"),
+                F.col(f"support_{k}").alias("support"),
+                F.try_divide(f"hits_{k}", F.col(f"unfit_{k}") + F.col(f"known_{k}")).alias("score"),
+            )
+            for k in KINDS
+        ]
         scored = (
-            flat.join(known, "instance")
-            .groupBy("pattern", "kind")
-            .agg(F.sum(F.col("sure") * F.col("n")).alias("hits"), F.count("*").alias("support"))
-            .join(total, "pattern")
-            .select("pattern", "kind", "support", (F.col("hits") / F.col("total")).alias("score"))
+            flat.join(known.groupBy("instance").agg(kinds.alias("sures")), "instance")
+            .groupBy("pattern")
+            .agg(*sums)
+            .join(unfit, "pattern")
+            .select("pattern", F.inline(F.array(*judged)))
             .where((F.col("score") >= how.confidence) & (F.col("support") >= how.support))
         )
         scored = ws.save(scored, "scored")
         reached = (
             flat.join(scored.select("pattern", "kind", "score"), "pattern")
+            .where(F.array_contains("fits", F.col("kind")))
             .groupBy("instance", "kind")
             .agg(F.max("score").alias("sure"))
-            .where((F.col("sure") >= how.known) & F.array_contains(_fits(F.col("instance")), F.col("kind")))
+            .where(F.col("sure") >= how.known)
         )
         fresh = reached.join(seeds.select("instance"), "instance", "left_anti")
         known = ws.save(seeds.unionByName(fresh.select("instance", "kind", "sure")), "known")

@@ -109,6 +109,25 @@ def test_contexts_discover_what_patterns_miss(spark, ws):
     assert spans[13] == [] and all(len(spans[i]) == 1 for i in range(12))
 
 
+@pytest.mark.parametrize("seeds, unseen", [(80, 20), (24, 16), (20, 20)])
+def test_contexts_discover_many_unseen(spark, ws, seeds, unseen):
+    texts = [f"Reach our phone: +1 (286) 555-{1000 + i} today" for i in range(seeds)]
+    local = [f"Reach our phone: 555-{2000 + i} today" for i in range(unseen)]
+    # What lacks the shape, and what is known for another kind, still speaks against a context.
+    mixed = [f"see item +1 (286) 555-{3000 + i} or" for i in range(10)]
+    mixed += [f"see item x{i} or" for i in range(10)] + ["see item 555-4000 or"]
+    other = [f"log host +1 (286) 555-{5000 + i} is" for i in range(10)]
+    other += [f"log host 10.0.0.{i} is" for i in range(10)] + ["log host 555-6000 is"]
+    texts += local + mixed + other
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.find_personal_data(ws, docs).collect()}
+    fresh = {i: [tuple(s) for s in r.spans if s not in r.base] for i, r in out.items()}
+    start = len("Reach our phone: ")
+    for i in range(len(texts)):
+        new = seeds <= i < seeds + unseen
+        assert fresh[i] == ([("phone", start, start + 8)] if new else []), texts[i]
+
+
 @pytest.mark.parametrize("percent", [70])
 def test_jaccard_thresholds(ws, docs, rows, percent):
     df = jaccard.near_duplicates(ws, docs, jaccard.Similarity(2, percent))
