@@ -19,15 +19,15 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 # The sample of one language: so many labelled rows, so many characters of each. An automaton
-# has fewer than twice as many states as characters, so states are 16-bit numbers.
+# has fewer than twice as many states as characters.
 SAMPLE_ROWS = 64
 ROW_CHARS = 500
 # Characters of all samples together; more languages get shorter samples.
 ALL_CHARS = 1_000_000
 # Languages whose counts may be broadcast; with more, the counts are joined by a shuffle.
 BROADCAST_LANGUAGES = 10_000
-# Letters that have a class of their own: the sample's most frequent ones.
-LETTERS = 120
+# Cells of one automaton's table of transitions; one that needs more is kept as a sorted list.
+TABLE_CELLS = 1 << 22
 # Texts are parsed in blocks of so many characters, all blocks of a stretch side by side.
 BLOCK = 512
 STRETCH_CHARS = 2_000_000
@@ -37,9 +37,41 @@ UNKNOWN = "und"
 OTHER, GAP = 0, 1
 
 
-def suffix_automaton(classes: list[int], width: int) -> np.ndarray:
-    """Transitions ``[state, class]`` of all substrings of a sequence; 0 is no state, 1 the
-    empty string. The usual online construction."""
+class Automaton:
+    """Transitions from state and class; 0 is no state, 1 the empty string. ``local`` numbers
+    the classes that occur in the automaton, from 1."""
+
+    def __init__(self, moves: list[dict[int, int]], width: int) -> None:
+        used = sorted({c for out in moves for c in out})
+        self.local = np.zeros(width, np.int64)
+        self.local[used] = np.arange(1, len(used) + 1)
+        self.width = len(used) + 1
+        kind = np.min_scalar_type(len(moves))
+        triples = [(s, c, t) for s, out in enumerate(moves) if s for c, t in out.items()]
+        state, label, target = np.array(triples, np.int64).reshape(-1, 3).T
+        keys = state * self.width + self.local[label]
+        self.begin = np.ones(self.width, kind)
+        first = state == 1
+        self.begin[self.local[label[first]]] = target[first]
+        self.table = self.keys = None
+        if len(moves) * self.width <= TABLE_CELLS:
+            self.table = np.zeros(len(moves) * self.width, kind)
+            self.table[keys] = target
+        else:
+            order = np.argsort(keys)
+            self.keys, self.targets = keys[order], target[order].astype(kind)
+
+    def step(self, states: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """The states that follow, by local classes; 0 where there is none."""
+        wanted = states.astype(np.int64) * self.width + labels
+        if self.keys is None:
+            return self.table[wanted]
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.targets[at], 0)
+
+
+def suffix_automaton(classes: list[int], width: int) -> Automaton:
+    """All substrings of a sequence of classes below ``width``. The usual online construction."""
     moves: list[dict[int, int]] = [{}, {}]
     links, lengths = [0, 0], [0, 0]
     last = 1
@@ -66,12 +98,7 @@ def suffix_automaton(classes: list[int], width: int) -> np.ndarray:
                     at = links[at]
                 links[target] = links[new] = copy
         last = new
-    table = np.zeros((len(moves), width), np.uint16)
-    for state, out in enumerate(moves):
-        if state:
-            for c, target in out.items():
-                table[state, c] = target
-    return table
+    return Automaton(moves, width)
 
 
 @dataclass
@@ -80,7 +107,7 @@ class Model:
 
     languages: list[str]
     classes: np.ndarray
-    automata: list[np.ndarray]
+    automata: list[Automaton]
     bits: list[float]
 
     @property
@@ -114,15 +141,15 @@ class Model:
             return out
         # How many blocks have a character at each place: those come first.
         alive = np.searchsorted(-size, -np.arange(size[0]), side="left")
-        columns = [codes[start[:n] + at].astype(np.int64) for at, n in enumerate(alive)]
-        for k, table in enumerate(self.automata):
-            flat, width = table.ravel(), table.shape[1]
-            begin = np.maximum(table[1], 1)
+        places = [start[:n] + at for at, n in enumerate(alive)]
+        for k, automaton in enumerate(self.automata):
+            labels, begin = automaton.local[codes], automaton.begin
             # The first character of a block begins a phrase, and each that extends none.
-            state = begin[columns[0]]
+            state = begin[labels[places[0]]]
             count = np.ones(len(owner), np.int64)
-            for n, c in zip(alive[1:], columns[1:], strict=True):
-                step = flat[state[:n].astype(np.int64) * width + c]
+            for n, place in zip(alive[1:], places[1:], strict=True):
+                c = labels[place]
+                step = automaton.step(state[:n], c)
                 stuck = step == 0
                 count[:n] += stuck
                 state[:n] = np.where(stuck, begin[c], step)
@@ -151,25 +178,19 @@ class Model:
 def fit(samples: dict[str, list[str]]) -> Model:
     """The model of sampled texts by language."""
     lowered = {k: [t.lower() for t in v] for k, v in sorted(samples.items())}
-    found: dict[str, int] = {}
+    found: set[str] = set()
     for parts in lowered.values():
         for part in parts:
-            for ch in part:
-                if ch.isalpha():
-                    found[ch] = found.get(ch, 0) + 1
-    own = sorted(found, key=lambda c: (-found[c], c))[:LETTERS]
+            found.update(filter(str.isalpha, part))
     classes = np.fromiter(
-        (OTHER if chr(i).isalpha() else GAP for i in range(0x110000)), np.uint8, 0x110000
+        (OTHER if chr(i).isalpha() else GAP for i in range(0x110000)), np.uint32, 0x110000
     )
-    for number, ch in enumerate(own, GAP + 1):
+    for number, ch in enumerate(sorted(found), GAP + 1):
         classes[ord(ch)] = number
     model = Model(sorted(lowered), classes, [], [])
     for name in model.languages:
         codes, _ = model.encode([" ".join(lowered[name])])
-        # A letter without a class of its own matches nothing, so it ends a phrase here too.
-        automaton = suffix_automaton(codes.tolist(), model.width)
-        automaton[:, OTHER] = 0
-        model.automata.append(automaton)
+        model.automata.append(suffix_automaton(codes.tolist(), model.width))
         model.bits.append(math.log2(len(codes) + 2))
     return model
 

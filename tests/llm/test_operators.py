@@ -195,6 +195,26 @@ def test_cross_parsing_counts_longest_phrases(rows):
     assert model.phrases(codes, lengths).tolist() == [[2, 5, 2], [6, 2, 3]]
 
 
+def test_letters_of_every_sample_count(monkeypatch):
+    import random
+
+    rng = random.Random(9)
+
+    def text(first: int, count: int, size: int) -> str:
+        made = ["".join(chr(first + rng.randrange(count)) for _ in range(3)) for _ in range(60)]
+        return " ".join(rng.choice(made) for _ in range(size))
+
+    texts = {"many": text(0x4E00, 400, 900), "long": text(0xAC00, 300, 200), "short": text(0x1200, 70, 60)}
+    samples = {k: [v[: len(v) // 2]] for k, v in texts.items()}
+    rest = [v[len(v) // 2 :] for v in texts.values()]
+    model = langid.fit(samples)
+    assert model.predict(rest)[0] == list(texts)
+    codes, lengths = model.encode(rest)
+    monkeypatch.setattr(langid, "TABLE_CELLS", 0)
+    listed = langid.fit(samples)
+    assert (listed.phrases(codes, lengths) == model.phrases(codes, lengths)).all()
+
+
 def test_outliers_are_rejected_and_plain_documents_stay(spark, ws):
     import random
 
