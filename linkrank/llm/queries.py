@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkrank.llm.bpe import bpe_ids
+from linkrank.llm.conversations import damaged, repair_conversations, turns_digest
 from linkrank.llm.exact import exact_duplicates
 from linkrank.llm.jaccard import Similarity, near_duplicates
 from linkrank.llm.langid import detect_languages
@@ -15,6 +16,7 @@ from linkrank.llm.mixing import mix_sources
 from linkrank.llm.pii import find_personal_data, span_digest
 from linkrank.llm.quality import quality_rules
 from linkrank.llm.sharding import shard_rows
+from linkrank.llm.spelling import group_variants, vocabulary
 from linkrank.llm.suffix import remove_repeats
 from linkrank.llm.text import documents
 from linkrank.plans.workspace import Workspace
@@ -68,6 +70,29 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    repaired = repair_conversations(Workspace(spark), damaged(turns))
+    digests = turns_digest(repaired.pieces).withColumnRenamed("conv_id", "hashed")
+    reports = repaired.reports.withColumnRenamed("conv_id", "repaired")
+    zeros = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    ids = turns.select("conv_id").distinct()
+    return (
+        ids.join(reports, F.col("conv_id").eqNullSafe(F.col("repaired")), "left")
+        .join(digests, F.col("conv_id").eqNullSafe(F.col("hashed")), "left")
+        .select(
+            "conv_id",
+            *(F.coalesce(x, F.lit(0).cast("long")).alias(x) for x in zeros),
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(Workspace(spark), vocabulary(documents(spark, sf_dir)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,5 +106,7 @@ QUERIES = {
         op8_mix_sources,
         op9_shards,
         op10_token_ids,
+        op12_conversation_repair,
+        op13_spelling_variants,
     )
 }
