@@ -12,6 +12,7 @@ from linkrank.llm.exact import exact_duplicates
 from linkrank.llm.jaccard import Similarity, near_duplicates
 from linkrank.llm.langid import detect_languages
 from linkrank.llm.lines import line_report
+from linkrank.llm.main_text import main_text
 from linkrank.llm.mixing import mix_sources
 from linkrank.llm.pii import find_personal_data, span_digest
 from linkrank.llm.quality import quality_rules
@@ -70,6 +71,11 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = main_text(Workspace(spark), spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     repaired = repair_conversations(Workspace(spark), damaged(turns))
@@ -106,6 +112,7 @@ QUERIES = {
         op8_mix_sources,
         op9_shards,
         op10_token_ids,
+        op11_main_text,
         op12_conversation_repair,
         op13_spelling_variants,
     )
