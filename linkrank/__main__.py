@@ -18,6 +18,13 @@ def main() -> None:
     parser.add_argument("--threshold-factor", type=float, default=Config.threshold_factor)
     parser.add_argument("--graph-format", choices=("parquet", "text"), default=Config.graph_format)
     parser.add_argument("--inlinks", action="store_true", help="publish the inlink lists too")
+    parser.add_argument("--keep", type=int, nargs="*", default=Config.keep, metavar="I",
+                        help="iterations to publish beside the last one")
+    parser.add_argument("--start", help="ranks or rank matrix to go on from")
+    parser.add_argument("--start-format", choices=("parquet", "text"), default=Config.start_format)
+    parser.add_argument("--done", type=int, default=0, help="iterations that led to --start")
+    parser.add_argument("--run", help="name of the run: run again, it does what is left")
+    parser.add_argument("--clear", action="store_true", help="remove the run's tables at the end")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("linkrank").getOrCreate()
@@ -29,6 +36,12 @@ def main() -> None:
         threshold_factor=args.threshold_factor,
         graph_format=args.graph_format,
         write_inlinks=args.inlinks,
+        keep=tuple(args.keep),
+        start=args.start,
+        start_format=args.start_format,
+        done=args.done,
+        run=args.run,
+        clear=args.clear,
     )
     published = publish_ranking(spark, config)
     print(f"{published.n} pages; results in {config.output}/results")

@@ -4,13 +4,17 @@ Column names used throughout: ``pages(page)``, ``pairs(src, dst)`` with one row
 record and target, ``edges(src, dst, copies)`` with one row per distinct pair.
 ``copies`` counts the records that hold the link, so records that share a title keep
 their weight without repeating the row.
+
+Records carry a number, and a page's ``id`` is the least number of its records. So links know
+the id of their source as soon as they are taken out of a record; only their targets have to
+be looked up by title.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.operators.skew import SHARES, hot_keys, join_keys, replicated, salted
@@ -19,6 +23,8 @@ from linkrank.operators.skew import SHARES, hot_keys, join_keys, replicated, sal
 ROW_LINKS = 1_000_000
 # Pages whose shares are broadcast, those with the longest lists; others get theirs by a join.
 SPLIT_PAGES = 100_000
+# Records with the title of another one, up to which their ids are broadcast.
+BROADCAST_RECORDS = 1_000_000
 
 
 def link_pairs(linked: DataFrame) -> DataFrame:
@@ -32,10 +38,13 @@ def existing_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_nodes(linked: DataFrame) -> DataFrame:
-    """Existing pages with the number of records and of link pairs behind each."""
+    """Existing pages with the number of records and of link pairs behind each, and with
+    their ``id`` where records are numbered."""
+    numbered = [F.min("record").alias("id")] if "record" in linked.columns else []
     return linked.groupBy(F.col("title").alias("page")).agg(
         F.count(F.lit(1)).alias("records"),
         F.sum(F.size("links")).alias("links"),
+        *numbered,
     )
 
 
@@ -75,15 +84,55 @@ def existing_links(
     return found.select(*links.columns, *(["dst_id"] if numbered else []))
 
 
-def numbered_links(
-    edges: DataFrame, nodes: DataFrame, hot_sources: DataFrame | None = None
+def shared_titles(linked: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(record, id)``: page ids of the records whose title others have too."""
+    shared = nodes.where("records > 1").select(F.col("page").alias("title"), "id")
+    return linked.select("title", "record").join(shared, "title").select("record", "id")
+
+
+def record_links(linked: DataFrame, shared: DataFrame | None = None, rows: int = 0) -> DataFrame:
+    """``(src, dst, copies)``: links by the id of their source and the title of their target.
+
+    A record's number is its page's id, so a link has it from birth. Records that ``shared``
+    (``rows`` of them) lists take their page's id, and only their links are merged.
+    """
+    if shared is None:
+        return _numbered(linked, F.col("record"), F.lit(1).cast("bigint"))
+    if rows <= BROADCAST_RECORDS:
+        shared = F.broadcast(shared)
+    own = linked.join(shared, "record", "left_anti")
+    of_others = _numbered(linked.join(shared, "record"), F.col("id"))
+    return _numbered(own, F.col("record"), F.lit(1).cast("bigint")).unionByName(
+        merge_copies(of_others)
+    )
+
+
+def _numbered(linked: DataFrame, source: Column, *copies: Column) -> DataFrame:
+    counted = [c.alias("copies") for c in copies]
+    return linked.select(source.alias("src"), *counted, F.explode("links").alias("dst"))
+
+
+def source_ids(
+    links: DataFrame, nodes: DataFrame, hot_sources: DataFrame | None = None
 ) -> DataFrame:
-    """Edges between ids: ``(src, dst, copies)`` of ``edges(src, dst, copies, dst_id)``."""
-    left = salted(edges, hot_sources, "src", F.col("dst_id"))
+    """Links with their source's id for its title."""
+    left = salted(links, hot_sources, "src", F.col("dst"))
     ids = nodes.select(F.col("page").alias("src"), "id")
     right = replicated(ids, hot_sources, "src")
     return left.join(right, join_keys(hot_sources, "src")).select(
-        F.col("id").alias("src"), F.col("dst_id").alias("dst"), "copies"
+        F.col("id").alias("src"), "dst", "copies"
+    )
+
+
+def source_titles(
+    links: DataFrame, nodes: DataFrame, hot_sources: DataFrame | None = None
+) -> DataFrame:
+    """Links with their source's title for its id."""
+    left = salted(links, hot_sources, "src", F.col("dst"))
+    titles = nodes.select(F.col("id").alias("src"), "page")
+    right = replicated(titles, hot_sources, "src")
+    return left.join(right, join_keys(hot_sources, "src")).select(
+        F.col("page").alias("src"), "dst", "copies"
     )
 
 

@@ -24,29 +24,29 @@ class RankGraph:
 
     ``edges(src, dst, copies)`` and ``pages(page, deg, title)`` name pages by id and are
     bucketed: edges by ``src`` (and by salt when some sources are hot), pages by ``page``.
-    ``buckets`` is the number of buckets; shuffles use ``tasks``. Laid out by title there
-    are no buckets, and ``pages`` has no ``title``.
+    ``buckets`` is the number of buckets and of tasks that shuffles use.
     """
 
     edges: DataFrame
     pages: DataFrame
     n: int
+    buckets: int
     hot_sources: DataFrame | None = None
-    buckets: int = 0
-    tasks: int = 1
-
-    @property
-    def numbered(self) -> bool:
-        return "title" in self.pages.columns
 
     def titled(self, state: DataFrame) -> DataFrame:
         """``(page, pr)`` of a state, by title."""
-        if not self.numbered:
-            return state.select("page", "pr")
         titles = self.pages.select("page", "title")
         named = self.per_page(state.select("page", "pr")).join(titles, "page")
         return named.select(F.col("title").alias("page"), "pr")
 
+    def with_titles(self, df: DataFrame, *columns: str) -> DataFrame:
+        """Replace ids in these columns by titles."""
+        for name in columns:
+            titles = self.pages.select(F.col("page").alias(name), F.col("title").alias("_title"))
+            others = [F.col("_title").alias(name) if c == name else F.col(c) for c in df.columns]
+            df = df.join(titles, name).select(*others)
+        return df
+
     def per_page(self, df: DataFrame) -> DataFrame:
         """A table with one row per page, as the build side of a partition-wise join.
 
@@ -54,7 +54,7 @@ class RankGraph:
         builds. Where that is little, hashing spares both sides a sort per iteration;
         beyond it the join sorts and can spill.
         """
-        small = self.buckets and self.n <= self.buckets * BUILD_ROWS
+        small = self.n <= self.buckets * BUILD_ROWS
         return df.hint("shuffle_hash") if small else df
 
 
@@ -65,9 +65,8 @@ def init_ranks(pages: DataFrame, n: int) -> DataFrame:
 
 def start_ranks(graph: RankGraph, ranks: DataFrame) -> DataFrame:
     """The state that ranks computed earlier, by title, stand for."""
-    key = "title" if graph.numbered else "page"
-    known = ranks.select(F.col("page").alias(key), "pr")
-    return graph.pages.join(known, key).select("page", "deg", "pr")
+    known = ranks.select(F.col("page").alias("title"), "pr")
+    return graph.pages.join(known, "title").select("page", "deg", "pr")
 
 
 def contributions(graph: RankGraph, state: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from linkrank.sinks.results import (
     write_count,
+    write_dropped,
     write_inlinks,
     write_outlinks,
     write_rank_matrix,
@@ -11,6 +12,7 @@ from linkrank.sinks.results import (
 
 __all__ = [
     "write_count",
+    "write_dropped",
     "write_inlinks",
     "write_outlinks",
     "write_rank_matrix",

@@ -9,51 +9,66 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkrank.functions.tokens import to_token
 from linkrank.operators.results import sorted_ranks
 from linkrank.sources.results import PARQUET
 
-def _write(df: DataFrame, line: Column, path: str, format: str) -> None:
+# What is done where the path is there already.
+MODE = "errorifexists"
+
+
+def _write(df: DataFrame, line: Column, path: str, format: str, mode: str) -> None:
     if format == PARQUET:
-        df.write.parquet(path)
+        df.write.mode(mode).parquet(path)
         return
-    df.select(line.alias("value")).write.text(path)
+    df.select(line.alias("value")).write.mode(mode).text(path)
+
+
+def _page() -> Column:
+    return to_token(F.col("page"))
+
+
+def _links(name: str) -> Column:
+    return F.array_join(F.transform(name, to_token), " ")
 
 
 def _list_line(name: str) -> Column:
-    return F.concat_ws("\t", "page", F.array_join(name, " "))
+    return F.concat_ws("\t", _page(), _links(name))
 
 
-def write_outlinks(lists: DataFrame, path: str, format: str = PARQUET) -> None:
+def write_outlinks(lists: DataFrame, path: str, format: str = PARQUET, mode: str = MODE) -> None:
     """``page <tab> child child …``; a dangling page has no children."""
-    _write(lists, _list_line("outlinks"), path, format)
+    _write(lists, _list_line("outlinks"), path, format, mode)
 
 
-def write_inlinks(lists: DataFrame, path: str, format: str = PARQUET) -> None:
+def write_inlinks(lists: DataFrame, path: str, format: str = PARQUET, mode: str = MODE) -> None:
     """``page <tab> parent parent …``."""
-    _write(lists, _list_line("inlinks"), path, format)
+    _write(lists, _list_line("inlinks"), path, format, mode)
 
 
-def write_count(counted: DataFrame, path: str) -> None:
+def write_count(counted: DataFrame, path: str, mode: str = MODE) -> None:
     """``N=<n>`` from the one row of ``page_count``."""
-    counted.select(F.format_string("N=%d", "n")).write.text(path)
+    counted.select(F.format_string("N=%d", "n")).write.mode(mode).text(path)
+
 
+def write_dropped(counted: DataFrame, path: str, mode: str = MODE) -> None:
+    """``name=<n>``, a line for each column of one row of counts."""
+    lines = [F.format_string(f"{name}=%d", F.col(name)) for name in counted.columns]
+    counted.select(F.explode(F.array(*lines)).alias("value")).write.mode(mode).text(path)
 
-def write_rank_matrix(matrix: DataFrame, path: str, format: str = PARQUET) -> None:
+
+def write_rank_matrix(matrix: DataFrame, path: str, format: str = PARQUET, mode: str = MODE) -> None:
     """``page rank child child …``."""
-    line = F.concat_ws(" ", "page", F.col("pr").cast("string"), F.array_join("outlinks", " "))
-    _write(matrix, line, path, format)
+    line = F.concat_ws(" ", _page(), F.col("pr").cast("string"), _links("outlinks"))
+    _write(matrix, line, path, format, mode)
 
 
-def write_ranks(ranks: DataFrame, path: str) -> None:
+def write_ranks(ranks: DataFrame, path: str, mode: str = MODE) -> None:
     """A snapshot to resume from."""
-    ranks.select("page", "pr").write.parquet(path)
+    ranks.select("page", "pr").write.mode(mode).parquet(path)
 
 
-def write_sorted(ranks: DataFrame, path: str, format: str = "text") -> None:
+def write_sorted(ranks: DataFrame, path: str, format: str = "text", mode: str = MODE) -> None:
     """``page <tab> rank``, highest rank first across the part files in name order."""
-    line = F.concat_ws("\t", "page", F.col("pr").cast("string"))
-    in_order = sorted_ranks(ranks)
-    if format == PARQUET:
-        in_order.write.parquet(path)
-    else:
-        in_order.select(line).write.text(path)
+    line = F.concat_ws("\t", _page(), F.col("pr").cast("string"))
+    _write(sorted_ranks(ranks), line, path, format, mode)

@@ -1,6 +1,6 @@
 """Readers: page dumps and the text or Parquet forms of every result."""
 
-from linkrank.sources.dump import read_pages
+from linkrank.sources.dump import cut_records, read_chunks, read_pages
 from linkrank.sources.results import (
     read_count,
     read_inlinks,
@@ -10,6 +10,8 @@ from linkrank.sources.results import (
 )
 
 __all__ = [
+    "cut_records",
+    "read_chunks",
     "read_count",
     "read_inlinks",
     "read_outlinks",

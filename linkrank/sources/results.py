@@ -1,7 +1,7 @@
 """Readers for what the sinks write.
 
-Text forms separate fields by white space, so titles that hold white space other than
-the underscore do not survive them; Parquet keeps every title.
+Text forms separate fields by white space; titles that hold white space, and empty ones, are
+escaped there and read back as they were.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkrank.functions.tokens import from_token
+
 PARQUET = "parquet"
 TEXT = "text"
 
@@ -18,14 +20,18 @@ def _tokens(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(words.alias("t")).where(F.size("t") > 0)
 
 
+def _title(position: int) -> Column:
+    return from_token(F.get("t", F.lit(position)))
+
+
 def _from(position: int) -> Column:
-    return F.slice("t", position, F.size("t"))
+    return F.transform(F.slice("t", position, F.size("t")), from_token)
 
 
 def _read_lists(spark: SparkSession, path: str, name: str, format: str) -> DataFrame:
     if format == PARQUET:
         return spark.read.parquet(path)
-    return _tokens(spark, path).select(F.get("t", F.lit(0)).alias("page"), _from(2).alias(name))
+    return _tokens(spark, path).select(_title(0).alias("page"), _from(2).alias(name))
 
 
 def read_outlinks(spark: SparkSession, path: str, format: str = PARQUET) -> DataFrame:
@@ -49,7 +55,7 @@ def read_rank_matrix(spark: SparkSession, path: str, format: str = PARQUET) -> D
     if format == PARQUET:
         return spark.read.parquet(path)
     return _tokens(spark, path).select(
-        F.get("t", F.lit(0)).alias("page"),
+        _title(0).alias("page"),
         F.get("t", F.lit(1)).cast("double").alias("pr"),
         _from(3).alias("outlinks"),
     )

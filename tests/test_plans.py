@@ -43,7 +43,7 @@ def test_one_exchange_and_no_sort_per_iteration(spark, ws, no_broadcast):
     state = r.init_ranks(graph.pages, graph.n)
     for steps in range(1, 4):
         state = r.rank_step(graph, state)
-        with workspace.shuffled_into(spark, graph.tasks):
+        with workspace.shuffled_into(state.sparkSession, graph.buckets):
             text = plan(state)
         assert len(re.findall(r"\bExchange\b", text)) == steps
         assert not re.search(r"\bSort\b|SortMergeJoin|Broadcast", text)
@@ -52,7 +52,7 @@ def test_one_exchange_and_no_sort_per_iteration(spark, ws, no_broadcast):
 def test_large_page_tables_are_sorted_not_hashed(spark, ws, no_broadcast, monkeypatch):
     monkeypatch.setattr(r, "BUILD_ROWS", 0)
     graph = graph_from_pages(ws, pages_of(spark, RECORDS), BUCKETED)
-    with workspace.shuffled_into(spark, graph.tasks):
+    with workspace.shuffled_into(graph.pages.sparkSession, graph.buckets):
         text = plan(r.rank_step(graph, r.init_ranks(graph.pages, graph.n)))
     assert "ShuffledHashJoin" not in text and "SortMergeJoin" in text
     assert len(re.findall(r"\bExchange\b", text)) == 1
@@ -102,8 +102,8 @@ def test_workspace_follows_the_session_setting(spark):
 
 def test_shuffles_fit_the_graph(spark, ws):
     small = graph_from_pages(ws, pages_of(spark, RECORDS))
-    assert small.tasks == small.buckets == 1
+    assert small.buckets == 1
     graph = graph_from_pages(ws, pages_of(spark, RECORDS), Layout(task_links=1))
-    assert graph.tasks == graph.buckets == 12
+    assert graph.buckets == 12
     files = graph.edges.select(F.input_file_name()).distinct().count()
     assert files > 1

@@ -59,14 +59,16 @@ def test_golden_graph(ws, golden):
 
 def test_one_step(spark, ws):
     links = link_graph_from_pages(ws, pages_of(spark, list(GOLDEN.items())))
-    golden = rank_graph(ws, links, by_title=True)
+    golden = rank_graph(ws, links)
     state = r.init_ranks(golden.pages, golden.n)
     assert {row.pr for row in state.collect()} == {0.2}
-    sent = {(x.src, x.dst): x.c for x in r.contributions(golden, state).collect()}
+    by_id = r.contributions(golden, state)
+    sent = {(x.src, x.dst): x.c for x in golden.with_titles(by_id, "src", "dst").collect()}
     assert sent["A", "B"] == 0.1 and sent["B", "C"] == 0.2
-    sums = {x.dst: x.s for x in r.contribution_sums(r.contributions(golden, state)).collect()}
+    by_target = golden.with_titles(r.contribution_sums(by_id), "dst")
+    sums = {x.dst: x.s for x in by_target.collect()}
     assert sums["C"] == pytest.approx(0.5) and "D" not in sums
-    step = as_dict(r.rank_step(golden, state))
+    step = as_dict(golden.titled(r.rank_step(golden, state)))
     assert step == pytest.approx(GOLDEN_RANKS[1])
 
 
@@ -98,13 +100,11 @@ def records():
     return random_records(250, 8, seed=3)
 
 
-@pytest.mark.parametrize("by_title", [False, True])
 @pytest.mark.parametrize("layout", [PLAIN, BUCKETED, SALTED], ids=["plain", "bucketed", "salted"])
-def test_layouts_agree_with_brute_force(spark, ws, records, layout, by_title):
+def test_layouts_agree_with_brute_force(spark, ws, records, layout):
     links = link_graph_from_pages(ws, pages_of(spark, records), layout)
-    graph = rank_graph(ws, links, layout, by_title)
+    graph = rank_graph(ws, links)
     assert (graph.hot_sources is not None) == (layout is SALTED)
-    assert graph.numbered == (graph.buckets > 0) == (not by_title)
     pages, edges = brute.graph(records)
     assert {(x.src, x.dst): x.copies for x in links.edges.collect()} == dict(edges)
     assert graph.edges.count() == len(edges)

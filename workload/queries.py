@@ -123,17 +123,17 @@ def _joined(lists: DataFrame, name: str, count: str) -> DataFrame:
 
 def wiki_inlinks(spark, sf_dir):
     graph = _wiki_links(Workspace(spark), sf_dir)
-    return _joined(g.inlinks(graph.edges, graph.nodes), "inlinks", "n_in")
+    return _joined(graph.inlinks(), "inlinks", "n_in")
 
 
 def wiki_outlinks(spark, sf_dir):
     graph = _wiki_links(Workspace(spark), sf_dir)
-    return _joined(g.outlinks(graph.edges, graph.nodes), "outlinks", "n_out")
+    return _joined(graph.outlinks(), "outlinks", "n_out")
 
 
 def wiki_transpose(spark, sf_dir):
     graph = _wiki_links(Workspace(spark), sf_dir)
-    return g.transpose_inlinks(g.inlinks(graph.edges, graph.nodes))
+    return g.transpose_inlinks(graph.inlinks())
 
 
 def page_count(spark, sf_dir):
@@ -153,23 +153,20 @@ def in_degree(spark, sf_dir):
 
 
 def rank_init(spark, sf_dir):
-    ws = Workspace(spark)
-    graph = rank_graph(ws, _wiki_links(ws, sf_dir), by_title=True)
-    return _ranks(r.init_ranks(graph.pages, graph.n))
-
-
-def _first_contributions(spark, sf_dir) -> DataFrame:
-    ws = Workspace(spark)
-    graph = rank_graph(ws, _wiki_links(ws, sf_dir), by_title=True)
-    return r.contributions(graph, r.init_ranks(graph.pages, graph.n))
+    graph = _wiki_graph(Workspace(spark), sf_dir)
+    return _ranks(graph.titled(r.init_ranks(graph.pages, graph.n)))
 
 
 def contributions(spark, sf_dir):
-    return _first_contributions(spark, sf_dir).select("src", "dst", "copies", _rounded("c"))
+    graph = _wiki_graph(Workspace(spark), sf_dir)
+    sent = r.contributions(graph, r.init_ranks(graph.pages, graph.n))
+    return graph.with_titles(sent, "src", "dst").select("src", "dst", "copies", _rounded("c"))
 
 
 def contribution_sums(spark, sf_dir):
-    return r.contribution_sums(_first_contributions(spark, sf_dir)).select("dst", _rounded("s"))
+    graph = _wiki_graph(Workspace(spark), sf_dir)
+    sums = r.contribution_sums(r.contributions(graph, r.init_ranks(graph.pages, graph.n)))
+    return graph.with_titles(sums, "dst").select("dst", _rounded("s"))
 
 
 def rank_iter1(spark, sf_dir):
@@ -191,7 +188,7 @@ def rank_snapshots(spark, sf_dir):
 def _matrix(ws: Workspace, sf_dir: str) -> DataFrame:
     links = _wiki_links(ws, sf_dir)
     ranks = rank_pages(ws, rank_graph(ws, links))[ITERATIONS]
-    return r.rank_matrix(ranks, g.outlinks(links.edges, links.nodes))
+    return r.rank_matrix(ranks, links.outlinks())
 
 
 def rank_matrix8(spark, sf_dir):
@@ -213,7 +210,7 @@ def rank_resumed_from_matrix(spark, sf_dir):
     ws = Workspace(spark)
     links = _wiki_links(ws, sf_dir)
     graph = rank_graph(ws, links)
-    lists = g.outlinks(links.edges, links.nodes, row_links=1)
+    lists = links.outlinks(row_links=1)
     matrix = r.rank_matrix(rank_pages(ws, graph, iterations=3)[3], lists)
     sinks.write_rank_matrix(matrix, ws.path("matrix3.out"), format="text")
     start = sources.read_ranks(spark, ws.path("matrix3.out"), format="text")
@@ -268,14 +265,14 @@ def xml_file_pages(spark, sf_dir):
 def outlink_text_round_trip(spark, sf_dir):
     graph = _wiki_links(Workspace(spark), sf_dir)
     path = Workspace(spark).path("outlink.out")
-    sinks.write_outlinks(g.outlinks(graph.edges, graph.nodes), path, format="text")
+    sinks.write_outlinks(graph.outlinks(), path, format="text")
     return _joined(sources.read_outlinks(spark, path, format="text"), "outlinks", "n_out")
 
 
 def inlink_text_round_trip(spark, sf_dir):
     graph = _wiki_links(Workspace(spark), sf_dir)
     path = Workspace(spark).path("inlink.out")
-    sinks.write_inlinks(g.inlinks(graph.edges, graph.nodes), path, format="text")
+    sinks.write_inlinks(graph.inlinks(), path, format="text")
     return _joined(sources.read_inlinks(spark, path, format="text"), "inlinks", "n_in")
 
 
