@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from linkrank import sinks, sources
 from linkrank.functions.score import DAMPING
 from linkrank.operators import graph as g
-from linkrank.operators.pages import count_records, page_links, parse_records
 from linkrank.operators.results import THRESHOLD_FACTOR, above_threshold
 from linkrank.plans import files
 from linkrank.plans.ranking import (
@@ -20,8 +18,9 @@ from linkrank.plans.ranking import (
     rank_graph,
     rank_pages,
 )
+from linkrank.plans.records import linked_records
 from linkrank.plans.workspace import Workspace
-from linkrank.sources.dump import END_TAG, START_TAG, cut_records, read_chunks
+from linkrank.sources.dump import END_TAG, START_TAG
 from linkrank.sources.results import PARQUET
 
 
@@ -94,35 +93,6 @@ def _parameters(spark: SparkSession, config: Config) -> dict:
     return {**given, "keep": list(config.keep), "read": files.extent(spark, config.input)}
 
 
-def linked_records(
-    ws: Workspace, path: str, start_tag: str = START_TAG, end_tag: str = END_TAG
-) -> tuple[DataFrame, dict[str, int]]:
-    """``(record, title, links)`` of the pages of a dump, written, and counts of its records.
-
-    One read of the dump: what is no page is counted while the pages are written, and where
-    a file is cut inside a record shows in what is written.
-    """
-    counted = Observation()
-
-    def chunks() -> DataFrame:
-        found = read_chunks(ws.spark, path, start_tag, end_tag)
-        opened = found.withColumn("opened", F.col("xml").isNotNull())
-        parsed = page_links(parse_records(opened)).observe(counted, *count_records())
-        return parsed.select("file", "block", "record", "opened", "dropped", "title", "links")
-
-    table = ws.save(chunks, "linked")
-    counts = ws.value("counted", lambda: counted.get)
-    cut = ws.value("cut", lambda: cut_records(ws.spark, table, start_tag, end_tag))
-    if cut:
-        gone = ws.spark.createDataFrame([(i,) for i in cut], "record long")
-        reasons = table.join(F.broadcast(gone), "record", "left_semi").select("title", "dropped")
-        over = ws.value("over", lambda: reasons.agg(*count_records()).first().asDict())
-        counts = {name: n - over[name] for name, n in counts.items()}
-        table = table.join(F.broadcast(gone), "record", "left_anti")
-    linked = table.where("title IS NOT NULL").select("record", "title", "links")
-    return linked, {**counts, "cut": len(cut)}
-
-
 def _publish(ws: Workspace, config: Config) -> Published:
     results = f"{config.output.rstrip('/')}/results"
     linked, counts = linked_records(ws, config.input, config.start_tag, config.end_tag)

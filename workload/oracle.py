@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.fixtures import LISTED_SIZE, WIKI_SQL
+from workload.fixtures import BROKEN_SQL, HARD_SQL, LISTED_SIZE, ODD_SQL, WIKI_SQL
 
 ITERATIONS = 8
 
@@ -71,10 +71,21 @@ FROM node LEFT JOIN e ON dst = title GROUP BY title
 _EDGES = "SELECT src, dst, count(*) AS copies FROM e GROUP BY src, dst"
 _RANKS = "SELECT title AS page, round(pr, 12) AS pr FROM r{i}"
 _TOP = "SELECT title AS page, round(pr, 12) AS pr FROM r8, n WHERE pr >= 5.0::DOUBLE / n"
+_PLACES = """SELECT page, pr, row_number() OVER (ORDER BY pr DESC, page) AS position FROM ({ranks}) x"""
 _MATRIX = f"""
 SELECT page, round(pr, 12) AS pr, outlinks FROM r8 JOIN ({_OUTLINKS}) o ON page = title
 """
 
+_BROKEN = f"""
+WITH raw AS ({BROKEN_SQL.format(text_type="VARCHAR", documents="documents")}),
+  why AS (SELECT doc_id, CASE
+    WHEN NOT regexp_matches(xml, '(?s)<title>.*</title>') THEN 'no title'
+    WHEN NOT regexp_matches(xml, '(?s)<text[^>]*>') THEN 'no body'
+    WHEN NOT regexp_matches(xml, '(?s)<text[^>]*>.*</text>') THEN 'open body' END AS dropped
+  FROM raw WHERE xml IS NOT NULL)
+"""
+_HARD = HARD_SQL.format(text_type="VARCHAR", documents="documents", line="\n")
+
 ORACLE = {
     "html_titles": """
         SELECT page_id,
@@ -114,12 +125,25 @@ ORACLE = {
     "rank_matrix8": _ranked(_WIKI) + _MATRIX,
     "rank_resumed": _ranked(_WIKI) + _RANKS.format(i=8),
     "rank_resumed_from_matrix": _ranked(_WIKI) + _RANKS.format(i=8),
-    "sorted_iter8": _ranked(_WIKI) + _RANKS.format(i=8) + " ORDER BY r8.pr DESC, page",
-    "top_ranked": _ranked(_WIKI) + _TOP,
+    "sorted_iter8": _ranked(_WIKI) + _PLACES.format(ranks=_RANKS.format(i=8)),
+    "top_ranked": _ranked(_WIKI) + _PLACES.format(ranks=_TOP),
     "parts_edges": _PARTS + _EDGES,
     "parts_rank8": _ranked(_PARTS) + _RANKS.format(i=8),
-    "parts_top": _ranked(_PARTS) + _TOP,
+    "parts_top": _ranked(_PARTS) + _PLACES.format(ranks=_TOP),
     "xml_file_pages": _WIKI + "SELECT title, length(body) AS body_chars FROM pg",
+    "xml_file_records": f"""
+        SELECT regexp_extract(xml, '(?s)<title>(.*?)</title>', 1) AS title, sha256(xml) AS sha256
+        FROM (SELECT first AS xml FROM ({_HARD}) h UNION ALL SELECT second FROM ({_HARD}) h) r
+        WHERE xml IS NOT NULL""",
+    "wiki_malformed": _BROKEN + "SELECT doc_id, dropped FROM why WHERE dropped IS NOT NULL",
+    "wiki_malformed_counts": _BROKEN
+    + """SELECT count(*) FILTER (dropped IS NULL) AS pages,
+        count(*) FILTER (dropped = 'no title') AS no_title,
+        count(*) FILTER (dropped = 'no body') AS no_body,
+        count(*) FILTER (dropped = 'open body') AS open_body, 0::BIGINT AS cut FROM why""",
+    "odd_titles_round_trip": f"""
+        SELECT page, concat(head, '|', page, '|') AS outlinks FROM (
+        {ODD_SQL.format(text_type="VARCHAR", documents="documents", char="chr")}) o""",
     "outlink_text_round_trip": _WIKI + _OUTLINKS,
     "inlink_text_round_trip": _WIKI + _INLINKS,
     "matrix_text_round_trip": _ranked(_WIKI) + _MATRIX,

@@ -9,8 +9,9 @@ from linkrank import sinks, sources
 from linkrank.functions import has_title, page_title
 from linkrank.operators import graph as g
 from linkrank.operators import ranks as r
-from linkrank.operators.pages import malformed_records, page_links, parse_pages
-from linkrank.operators.results import above_threshold, sorted_ranks
+from linkrank.operators.pages import malformed_records, page_links, parse_pages, parse_records
+from linkrank.operators.results import above_threshold
+from linkrank.plans.positions import with_positions
 from linkrank.plans.ranking import (
     ITERATIONS,
     LinkGraph,
@@ -22,6 +23,7 @@ from linkrank.plans.ranking import (
     rank_pages,
     snapshots,
 )
+from linkrank.plans.records import dump_records, linked_records
 from linkrank.plans.run import Config, publish_ranking
 from linkrank.plans.workspace import Workspace
 from workload import fixtures as fx
@@ -217,17 +219,21 @@ def rank_resumed_from_matrix(spark, sf_dir):
     return _ranks(rank_pages(ws, graph, start=start, done=3)[ITERATIONS])
 
 
+def _in_order(ws: Workspace, ranks: DataFrame) -> DataFrame:
+    """Rounded ranks, highest first, with their positions."""
+    placed = with_positions(ws, _ranks(ranks), [F.desc("pr"), F.col("page")])
+    return placed.orderBy("position")
+
+
 def sorted_iter8(spark, sf_dir):
     ws = Workspace(spark)
-    return sorted_ranks(rank_pages(ws, _wiki_graph(ws, sf_dir))[ITERATIONS]).select(
-        "page", _rounded("pr")
-    )
+    return _in_order(ws, rank_pages(ws, _wiki_graph(ws, sf_dir))[ITERATIONS])
 
 
 def top_ranked(spark, sf_dir):
     ws = Workspace(spark)
     graph = _wiki_graph(ws, sf_dir)
-    return _ranks(sorted_ranks(above_threshold(rank_pages(ws, graph)[ITERATIONS], graph.n)))
+    return _in_order(ws, above_threshold(rank_pages(ws, graph)[ITERATIONS], graph.n))
 
 
 def parts_edges(spark, sf_dir):
@@ -244,7 +250,7 @@ def parts_rank8(spark, sf_dir):
 def parts_top(spark, sf_dir):
     ws = Workspace(spark)
     graph = _part_graph(ws, sf_dir)
-    return _ranks(sorted_ranks(above_threshold(rank_pages(ws, graph)[ITERATIONS], graph.n)))
+    return _in_order(ws, above_threshold(rank_pages(ws, graph)[ITERATIONS], graph.n))
 
 
 # --- files ------------------------------------------------------------------
@@ -262,6 +268,38 @@ def xml_file_pages(spark, sf_dir):
     return pages.select("title", F.length("body").cast("bigint").alias("body_chars"))
 
 
+def xml_file_records(spark, sf_dir):
+    """Every record of files with nested, unclosed and cut pages, byte by byte."""
+    ws = Workspace(spark)
+    records = dump_records(ws, fx.write_hard_dump(spark, sf_dir, ws.path("dump")))
+    xml = F.col("xml")
+    return records.select(
+        F.regexp_extract(xml, "(?s)<title>(.*?)</title>", 1).alias("title"),
+        F.sha2(xml, 256).alias("sha256"),
+    )
+
+
+def wiki_malformed(spark, sf_dir):
+    parsed = parse_records(fx.broken_records(spark, sf_dir))
+    return parsed.where("dropped IS NOT NULL").select("doc_id", "dropped")
+
+
+def wiki_malformed_counts(spark, sf_dir):
+    """What a dump's records came to, counted while its pages were written."""
+    ws = Workspace(spark)
+    path = ws.path("dump")
+    fx.broken_records(spark, sf_dir).select("xml").write.text(path)
+    counts = linked_records(ws, path)[1]
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
+def odd_titles_round_trip(spark, sf_dir):
+    path = Workspace(spark).path("odd.out")
+    sinks.write_outlinks(fx.odd_lists(spark, sf_dir), path, format="text")
+    lists = sources.read_outlinks(spark, path, format="text")
+    return lists.select("page", F.array_join("outlinks", "|").alias("outlinks"))
+
+
 def outlink_text_round_trip(spark, sf_dir):
     graph = _wiki_links(Workspace(spark), sf_dir)
     path = Workspace(spark).path("outlink.out")
@@ -337,6 +375,10 @@ QUERIES = {
         parts_rank8,
         parts_top,
         xml_file_pages,
+        xml_file_records,
+        wiki_malformed,
+        wiki_malformed_counts,
+        odd_titles_round_trip,
         outlink_text_round_trip,
         inlink_text_round_trip,
         matrix_text_round_trip,
