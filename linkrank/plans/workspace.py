@@ -10,8 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from linkrank.plans import files
@@ -139,13 +138,11 @@ class Workspace:
 
     def _write(self, df: DataFrame, stage: str, write: Callable[[DataFrame], None], **record: Any):
         """Write, and record what was written where there is a manifest."""
-        if self.manifest is None:
-            write(df)
-            return
-        counted = Observation()
-        write(df.observe(counted, F.count(F.lit(1)).alias("rows")))
-        rows = counted.get["rows"]
-        self.manifest.commit(stage, path=self.path(stage), rows=rows, schema=df.schema.json(), **record)
+        write(df)
+        if self.manifest:
+            path = self.path(stage)
+            rows = self.spark.read.schema(df.schema).parquet(path).count()  # from the footers
+            self.manifest.commit(stage, path=path, rows=rows, schema=df.schema.json(), **record)
 
     def save(self, df: DataFrame | Callable[[], DataFrame], name: str) -> DataFrame:
         """Write a table, or what a function plans, and read it back. A recorded one is only
