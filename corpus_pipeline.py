@@ -12,15 +12,16 @@ from linkrank.llm.langid import UNKNOWN, identify, learn
 from linkrank.llm.lines import dedup_lines
 from linkrank.llm.mixing import mixed_documents
 from linkrank.llm.queries import RANKS
-from linkrank.llm.text import documents
+from linkrank.llm.text import documents, packed, unpacked
 from linkrank.plans.workspace import Workspace
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned from the labelled ones; texts without a
     letter go."""
-    found = identify(docs, learn(docs))
-    return found.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    names = ("text",)
+    found = identify(packed(docs, *names), learn(docs), "__lang", "__score")
+    return unpacked(found.where(F.col("__lang") != UNKNOWN), docs.columns, names)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

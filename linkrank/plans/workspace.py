@@ -158,9 +158,15 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def save_bucketed(
-        self, df: DataFrame | Callable[[], DataFrame], name: str, keys: list[str], buckets: int
+        self,
+        df: DataFrame | Callable[[], DataFrame],
+        name: str,
+        keys: list[str],
+        buckets: int,
+        dealt: bool = False,
     ) -> DataFrame:
-        """Hash-partition by ``keys`` and keep that layout: one sorted file per bucket."""
+        """Hash-partition by ``keys`` and keep that layout: one sorted file per bucket. Rows
+        that are ``dealt`` by these keys already are written as they lie."""
         stage = self._unused(name)
         table, path, done = f"{self.name}_{stage}", self.path(stage), self._done(stage)
         self._tables.append(table)
@@ -174,7 +180,7 @@ class Workspace:
 
         def write(out: DataFrame) -> None:
             (
-                out.repartition(buckets, *keys)
+                (out if dealt else out.repartition(buckets, *keys))
                 .write.format("parquet")
                 .mode(mode)
                 .option("path", path)
