@@ -230,38 +230,58 @@ def trigger_filter(repeated: DataFrame) -> np.ndarray:
 
 
 def may_repeat(docs: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
-    """The documents of which some trigger passes the filter."""
+    """``(row, doc_id, key, body, copies)``: the documents of which some trigger passes the
+    filter, equal rows as one with their number.
+
+    A task hands on a row's body once and what else it has of that row as a number, so a row
+    that a third of the table repeats is one body and one number a task.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(bits)
-    place = docs.columns.index("body")
+    names = ["row", "doc_id", "key", "body"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
+        copies: dict[tuple, int] = {}
         for batch in batches:
             found = []
-            for body in batch.column(place).to_pylist():
-                grams = phrases(body, length)[0]
+            ids = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+            for same, body in zip(ids, batch.column(3), strict=True):
+                if same in copies:
+                    copies[same] += 1
+                    found.append(False)
+                    continue
+                grams = phrases(body.as_py(), length)[0]
                 passing = np.ones(len(grams), bool)
                 for at in _filter_places(grams):
                     bit = words[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)
                     passing &= (bit & 1).astype(bool)
                 found.append(bool(passing.any()))
+                copies[same] = 0 if found[-1] else -(1 << 62)
             kept = batch.filter(pa.array(found, pa.bool_()))
             if kept.num_rows:
-                yield kept
+                once = pa.array(np.ones(kept.num_rows, np.int64))
+                yield pa.RecordBatch.from_arrays([*kept.columns, once], names=[*names, "copies"])
+        more = [(*same, None, n) for same, n in copies.items() if n > 0]
+        if more:
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
+            columns = [pa.array(c, k) for c, k in zip(zip(*more, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "copies"])
 
-    return docs.mapInArrow(run, docs.schema)
+    schema = "row long, doc_id long, key long, body binary, copies long"
+    return docs.select(*names).mapInArrow(run, schema)
 
 
 def parse(docs: DataFrame, length: int) -> DataFrame:
-    """``(row, gram, phrase, first, count)``: each text's phrases in order."""
+    """``(row, copies, gram, phrase, first, count)``: each text's phrases in order."""
 
-    def rows_of(row: int, body: bytes) -> Iterator[tuple]:
+    def rows_of(row: int, copies: int, body: bytes) -> Iterator[tuple]:
         grams, first, count = phrases(body, length)
         for g, f, c in zip(_signed(grams), first.tolist(), count.tolist(), strict=True):
             h = phrase_hash(body, f, c, length)
-            yield row, g, h - (1 << 64) if h >> 63 else h, f, c
+            yield row, copies, g, h - (1 << 64) if h >> 63 else h, f, c
 
-    return _rows(docs, ["row", "body"], "row long, gram long, phrase long, first long, count long", rows_of)
+    schema = "row long, copies long, gram long, phrase long, first long, count long"
+    return _rows(docs, ["row", "copies", "body"], schema, rows_of)
 
 
 def _compared(contents: DataFrame, length: int) -> DataFrame:
@@ -339,10 +359,11 @@ def _fingerprinted(contents: DataFrame, length: int) -> DataFrame:
 def repeated_runs(
     ws: Workspace, docs: DataFrame, length: int = LENGTH, hot_phrases: int = HOT_PHRASES
 ) -> tuple[DataFrame, DataFrame]:
-    """``(texts, runs)``: the texts that may repeat, ``(row, body, ...)``, and
+    """``(texts, runs)``: the texts that may repeat, ``(row, doc_id, key, body, copies)``, and
     ``(row, runs)``: for each text with repeats the byte runs ``[first, end)``, as they come.
 
-    ``docs`` are ``(row, body, ...)``; equal rows must have equal bodies.
+    ``docs`` are ``(row, doc_id, key, body)``. Rows equal in all are copies of one text, which
+    is parsed once; what occurs in it counts once for each copy.
     """
     spark = ws.spark
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -350,12 +371,16 @@ def repeated_runs(
         triggers(docs, length).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"),
         "triggers",
     )
-    texts = may_repeat(docs, trigger_filter(repeated), length)
-    texts = ws.save_bucketed(texts, "texts", ["row"], tasks)
+    texts = may_repeat(docs, trigger_filter(repeated), length).repartition(tasks, "row")
+    # The rows of one text lie in one task already: no further exchange.
+    texts = texts.groupBy("row", "doc_id", "key").agg(
+        F.max("body").alias("body"), F.sum("copies").alias("copies")
+    )
+    texts = ws.save_bucketed(texts, "texts", ["row"], tasks, dealt=True)
     parsed = parse(texts, length)
     dictionary = ws.save(
         parsed.groupBy("gram", "phrase").agg(
-            F.count("*").alias("times"),
+            F.sum("copies").alias("times"),
             F.min("row").alias("row"),
             F.min_by("first", "row").alias("first"),
             F.min("count").alias("count"),
