@@ -2,20 +2,29 @@
 
 The last token of an encoded prefix is known from that prefix alone, and what stands before
 an emitted token does not change what follows it. So the transducer reads bytes one by one and
-keeps the last token of each prefix that a longer token could still start from. As soon as all those prefixes share a common beginning,
-its tokens are final and are emitted. The lookahead is bounded by the longest token.
+keeps the last token of each prefix that a longer token could still start from. As soon as all
+those prefixes share a common beginning, its tokens are final and are emitted. The lookahead
+is bounded by the longest token.
+
+The last token of a prefix is the one token it ends with that may follow the last token of
+what is before: two tokens may stand side by side if no merge across their border comes before
+the merges that made them. So a step takes a few lookups and merges nothing anew.
 
 A state is the last emitted token and the bytes after it. Transitions are worked out when
-they are first taken and kept in a table of bounded size, as are outputs of whole pieces.
+they are first taken and kept in a table of bounded size, as are outputs of whole pieces;
+tables last as long as the worker process.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+import struct
+import sys
+from collections.abc import Iterator
 from itertools import islice
 from pathlib import Path
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -23,18 +32,18 @@ import regex
 from pyspark.sql import DataFrame
 
 # Entries that a table keeps before it starts anew.
-TRANSITIONS = 400_000
-PIECES = 250_000
+TRANSITIONS = 60_000
+PIECES = 400_000
 # Ids that decoding handles at a time; pieces that encoding handles at a time.
 STRETCH = 65_536
 # Characters from which on pieces are not listed all at once.
 LONG_TEXT = 1_000_000
-
-# Bytes of a piece that are read ahead before states are stepped through: a piece that ends
-# by then is a state of its own, whose final output is what its bytes merge to.
-LOOKAHEAD = 24
+# Characters of texts that are encoded before their ids are handed on.
+SLICE_CHARS = 1_000_000
 
 NO_TOKEN = -1
+# Under this name a worker process keeps its codec from one task to the next.
+KEPT = "_linkrank_codec"
 
 
 def load_ranks(path: str | Path) -> dict[bytes, int]:
@@ -60,56 +69,149 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 
 
 class Transducer:
-    """Encodes pieces of text; ``ranks`` are the compiled merges."""
+    """Encodes pieces of text; ``ranks`` are the compiled merges.
+
+    All tokens make up a trie. A state is the last emitted token, the bytes after it, the last
+    token of every prefix of these bytes, and where tokens begin that are not read to their
+    end: their places and nodes of the trie.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        # Beginnings of longer tokens: where one of them ends, that token may still come.
-        self.beginnings = {t[:n] for t in ranks for n in range(1, len(t))}
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
+        self.above = max(ranks.values(), default=0) + 2
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        # The trie by node and byte; each node's token, and whether tokens go on behind it.
+        self.trie: dict[int, int] = {}
+        self.token_at, self.inner = [NO_TOKEN], [True]
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token:
+                self.inner[node] = True
+                key = node << 8 | byte
+                if key not in self.trie:
+                    self.trie[key] = len(self.inner)
+                    self.inner.append(False)
+                    self.token_at.append(NO_TOKEN)
+                node = self.trie[key]
+            self.token_at[node] = rank
         self.reset()
 
     def reset(self) -> None:
-        """Forget all states but the first. A state is (last token, bytes, lasts): the
-        last token of every prefix of these bytes."""
-        self.states: list[tuple[int, bytes, tuple[bytes, ...]]] = [(NO_TOKEN, b"", ())]
+        """Forget all states but the first."""
+        self.states: list[tuple] = [(NO_TOKEN, b"", (), ((0, 0),))]
         self.numbers = {(NO_TOKEN, b""): 0}
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
-
-    def last_token(self, before: int, held: bytes) -> bytes:
-        """Last token of ``held`` behind an emitted token: that of the two merged anew."""
-        first = b"" if before == NO_TOKEN else self.tokens[before]
-        return merge_bytes(first + held, self.ranks)[-1]
+        self.ends: dict[int, tuple[int, ...]] = {0: ()}
+        self.pairs: dict[int, bool] = {}
+
+    def parts(self, rank: int) -> tuple[int, int] | None:
+        """The two tokens that a token is merged from; itself twice for a single byte, None
+        for one that merges never make."""
+        if rank not in self.halves:
+            token = self.tokens[rank]
+            if len(token) == 1:
+                self.halves[rank] = (rank, rank)
+            else:
+                lower = _Below(self.ranks, rank)
+                made = [self.ranks[t] for t in merge_bytes(token, lower)]
+                self.halves[rank] = (made[0], made[1]) if len(made) == 2 else None
+        return self.halves[rank]
+
+    def may_follow(self, first: int, second: int) -> bool:
+        """Whether two tokens stay apart side by side.
+
+        Their merges are undone from the last one, always of the token that was made later;
+        a merge across the border that comes before those still done would have joined them.
+        """
+        tokens, ranks = self.tokens, self.ranks
+        limit = self.above
+        while True:
+            joined = ranks.get(tokens[first] + tokens[second])
+            if joined is not None and joined < limit and self.parts(joined) == (first, second):
+                return False
+            # A later left token is undone first; of a single byte nothing is left to undo.
+            for left in (True, False) if first > second else (False, True):
+                if left:
+                    rest = self.parts(first)[1]
+                    if rest != first:
+                        limit, first = first, rest
+                        break
+                else:
+                    rest = self.parts(second)[0]
+                    if rest != second:
+                        limit, second = second + 1, rest
+                        break
+            else:
+                return True
+
+    def fits(self, before: int, rank: int) -> bool:
+        """Whether a token may be the last one behind another, or at a piece's begin."""
+        if self.parts(rank) is None:
+            return False
+        if before == NO_TOKEN:
+            return True
+        key = before << 32 | rank
+        known = self.pairs.get(key)
+        if known is None:
+            known = self.pairs[key] = self.may_follow(before, rank)
+        return known
 
     def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The next state and the tokens that have become final."""
-        before, held, lasts = self.states[state]
+        if len(self.moves) >= TRANSITIONS:
+            kept = self.states[state]
+            self.reset()
+            state = self._number(*kept)
+        before, held, lasts, begun = self.states[state]
+        trie, token_at, inner = self.trie, self.token_at, self.inner
+        # The one token that fits ends here; tokens that could still come go on.
+        last, going = NO_TOKEN, []
+        for start, node in begun:
+            child = trie.get(node << 8 | byte)
+            if child is None:
+                continue
+            rank = token_at[child]
+            if last == NO_TOKEN and rank != NO_TOKEN:
+                if self.fits(lasts[start - 1] if start else before, rank):
+                    last = rank
+            if inner[child]:
+                going.append((start, child))
         held += bytes((byte,))
-        lasts += (self.last_token(before, held),)
-        # Prefixes that a longer token could still follow; step the farthest one back,
-        # token by token, until all meet.
-        ends = {i for i in range(len(held)) if held[i:] in self.beginnings} | {len(held)}
-        while len(ends) > 1:
-            far = max(ends)
-            ends.remove(far)
-            ends.add(far - len(lasts[far - 1]))
-        common = ends.pop()
-        out = self.path(lasts, common)
+        lasts += (last,)
+        # The next token may begin behind this one, or is one of those that go on: step back
+        # from all their begins, token by token, to where their paths meet.
+        end = common = len(held)
+        sizes = self.sizes
+        for start, _ in reversed(going):
+            while common != start:
+                if common > start:
+                    common -= sizes[lasts[common - 1]]
+                else:
+                    start -= sizes[lasts[start - 1]]
+        going.append((end, 0))
+        out = self.path(lasts, common) if common else ()
         if out:
             before = out[-1]
             held, lasts = held[common:], lasts[common:]
+            going = [(start - common, node) for start, node in going]
+        step = self.moves[state << 8 | byte] = self._number(before, held, lasts, tuple(going)), out
+        return step
+
+    def _number(self, before: int, held: bytes, lasts: tuple, going: tuple) -> int:
         key = (before, held)
         if key not in self.numbers:
             self.numbers[key] = len(self.states)
-            self.states.append((before, held, lasts))
-        return self.numbers[key], out
+            self.states.append((before, held, lasts, going))
+        return self.numbers[key]
 
-    def path(self, lasts: tuple[bytes, ...], end: int) -> tuple[int, ...]:
+    def path(self, lasts: tuple[int, ...], end: int) -> tuple[int, ...]:
         """Tokens of the prefix that ends here."""
         out = []
         while end:
-            out.append(self.ranks[lasts[end - 1]])
-            end -= len(lasts[end - 1])
+            out.append(lasts[end - 1])
+            end -= self.sizes[lasts[end - 1]]
         return tuple(reversed(out))
 
     def encode(self, piece: bytes) -> list[int]:
@@ -117,25 +219,33 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(piece) <= LOOKAHEAD:
-            return [self.ranks[token] for token in merge_bytes(piece, self.ranks)]
-        if len(self.moves) >= TRANSITIONS:
-            self.reset()
         out: list[int] = []
-        state, moves = 0, self.moves
+        state = 0
         for byte in piece:
-            key = state << 8 | byte
-            step = moves.get(key)
-            if step is None:
-                step = moves[key] = self.move(state, byte)
+            step = self.moves.get(state << 8 | byte) or self.move(state, byte)
             state = step[0]
             if step[1]:
                 out += step[1]
-        lasts = self.states[state][2]
-        out += self.path(lasts, len(lasts))
+        if state not in self.ends:
+            lasts = self.states[state][2]
+            self.ends[state] = self.path(lasts, len(lasts))
+        out += self.ends[state]
         return out
 
 
+class _Below:
+    """The merges that come before one of them."""
+
+    def __init__(self, ranks: dict[bytes, int], rank: int):
+        self.ranks, self.rank = ranks, rank
+
+    def __len__(self) -> int:
+        return self.rank
+
+    def get(self, token: bytes, none: int) -> int:
+        return min(self.ranks.get(token, none), none)
+
+
 class Utf8Stream:
     """Characters of a stream of bytes, each as soon as its last byte is there.
 
@@ -185,7 +295,7 @@ class Codec:
             ids = known.get(piece)
             if ids is None:
                 encoded = self.transducer.encode(piece.encode("utf-8", "replace"))
-                ids = np.array(encoded, "<u4").tobytes()
+                ids = struct.pack(f"<{len(encoded)}I", *encoded)
                 if len(piece) <= 64:
                     if len(known) >= PIECES:
                         known.clear()
@@ -210,8 +320,24 @@ class Codec:
         yield stream.close()
 
 
-def _texts(batch: pa.RecordBatch, column: str) -> Iterable[str]:
-    return (x or "" for x in batch.column(column).to_pylist())
+def _slices(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """Texts in turn, not many characters at a time, and where each slice starts."""
+    at = 0
+    while at < len(texts):
+        begun, size, part = at, 0, []
+        while at < len(texts) and size < SLICE_CHARS:
+            part.append(texts[at] or "")
+            size += len(part[-1])
+            at += 1
+        yield begun, part
+
+
+def _codec(path: str, pattern: str, ranks: dict[bytes, int]) -> Codec:
+    """The codec of this worker process: what it has learned serves all its tasks."""
+    kept = sys.modules.setdefault(KEPT, ModuleType(KEPT)).__dict__
+    if kept.get("key") != (path, pattern):
+        kept["codec"], kept["key"] = Codec(ranks, pattern), (path, pattern)
+    return kept["codec"]
 
 
 def bpe_ids(docs: DataFrame, ranks_path: str | Path, pattern: str) -> DataFrame:
@@ -223,27 +349,30 @@ def bpe_ids(docs: DataFrame, ranks_path: str | Path, pattern: str) -> DataFrame:
     whatever the table; they are broadcast.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
+    path = str(ranks_path)
+
+    def digest_of(codec: Codec, ids: bytes) -> str:
+        digest = hashlib.sha256()
+        for part in codec.decode(ids):
+            digest.update(part.encode("utf-8"))
+        return digest.hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(ranks.value, pattern)
+        codec = _codec(path, pattern, ranks.value)
         for batch in batches:
-            ids = [codec.encode(t) for t in _texts(batch, "text")]
-            decoded = []
-            for x in ids:
-                digest = hashlib.sha256()
-                for part in codec.decode(x):
-                    digest.update(part.encode("utf-8"))
-                decoded.append(digest.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").cast(pa.int64()),
-                    pa.array(ids, pa.binary()),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                    pa.array(decoded, pa.string()),
-                ],
-                names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            doc_ids = batch.column("doc_id").cast(pa.int64())
+            for at, texts in _slices(batch.column("text").to_pylist()):
+                ids = [codec.encode(t) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        doc_ids.slice(at, len(ids)),
+                        pa.array(ids, pa.binary()),
+                        pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                        pa.array([digest_of(codec, x) for x in ids], pa.string()),
+                    ],
+                    names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     return docs.select("doc_id", "text").mapInArrow(
         run,
