@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from linkrank.llm.components import components
-from linkrank.llm.text import text_key, whole_text
+from linkrank.llm.text import packed, text_key, unpacked, whole_text
 from linkrank.plans.workspace import Workspace
 
 # Counters of the sketch that orders tokens: 8 MB, whatever the table.
@@ -462,7 +462,8 @@ def keep_firsts(ws: Workspace, docs: DataFrame, rule: Similarity) -> DataFrame:
     )
     kept = ws.save(kept.distinct(), "kept")
     own_id = F.col("doc_id").cast("long")
-    here = docs.withColumn("__here", F.xxhash64(own_id, text_key()))
+    names = ("doc_id", "text")
+    here = packed(docs, *names).withColumn("__here", F.xxhash64(own_id, text_key()))
     same = (
         (F.col("__here") == F.col("__place"))
         & own_id.eqNullSafe(F.col("__id"))
@@ -473,9 +474,9 @@ def keep_firsts(ws: Workspace, docs: DataFrame, rule: Similarity) -> DataFrame:
     nth = F.row_number().over(order)
     before = F.lag(F.struct("__id", "__key")).over(order)
     again = (nth > 1) & before.eqNullSafe(F.struct("__id", "__key"))
-    return (
+    first = (
         here.join(kept, same)
         .withColumn("__again", again)
         .where(~F.col("__again") | ~F.col("__words"))
-        .select(*docs.columns)
     )
+    return unpacked(first, docs.columns, names)

@@ -13,12 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-# The sample of one language: so many labelled rows, so many characters of each. An automaton
+# The sample of one language: so many labelled rows, a window of so many characters of each. An automaton
 # has fewer than twice as many states as characters.
 SAMPLE_ROWS = 64
 ROW_CHARS = 500
@@ -30,7 +31,7 @@ BROADCAST_LANGUAGES = 10_000
 TABLE_CELLS = 1 << 22
 # Texts are parsed in blocks of so many characters, all blocks of a stretch side by side.
 BLOCK = 512
-STRETCH_CHARS = 2_000_000
+STRETCH_CHARS = 1_000_000
 UNKNOWN = "und"
 
 # Classes of characters: a letter of none of the samples; anything between letters.
@@ -200,21 +201,31 @@ def remainder(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 5
 
 
+def learnable(docs: DataFrame) -> DataFrame:
+    """Labelled rows that are not held out and hold a letter: only they are learned from, and
+    only their languages count."""
+    return docs.where(
+        F.col("lang").isNotNull() & (remainder() != 0) & F.col("text").rlike(r"\p{L}")
+    )
+
+
 def sample_rows(docs: DataFrame, rows: int = SAMPLE_ROWS, languages: int | None = None) -> DataFrame:
     """``(lang, place, part)``: a bounded sample of each language's labelled rows that are not
     held out, chosen by a hash of the row. A first cut by that hash leaves a few times as many
     rows as are needed, so that no language has to be sorted. Where there are at most
     ``BROADCAST_LANGUAGES``, the cut comes before the shuffle, so that no task gets all rows
     of a language; ``languages`` is their number if it is known."""
-    labelled = docs.where(
-        F.col("lang").isNotNull() & (remainder() != 0) & F.col("text").rlike(r"\p{L}")
-    )
+    labelled = learnable(docs)
     known = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     if languages is not None and languages <= BROADCAST_LANGUAGES:
         known = F.broadcast(known)
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)).cast("double") / float(1 << 40)
+    # A window of the text at a place that its hash draws, so that no head is preferred.
+    spare = F.greatest(F.length("text") - ROW_CHARS, F.lit(0))
+    begin = F.pmod(F.xxhash64("text", F.lit("window")), spare + 1).cast("int") + 1
+    part = F.substr("text", begin, F.lit(ROW_CHARS))
     near = (
-        labelled.select("lang", draw.alias("draw"), F.substring("text", 1, ROW_CHARS).alias("part"))
+        labelled.select("lang", draw.alias("draw"), part.alias("part"))
         .join(known, "lang")
         .where(F.col("draw") * F.col("n") < 4 * rows + 40)
     )
@@ -224,7 +235,7 @@ def sample_rows(docs: DataFrame, rows: int = SAMPLE_ROWS, languages: int | None
 
 def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Collects the sample, at most ALL_CHARS characters, and builds the automata."""
-    languages = max(1, docs.select("lang").distinct().count())
+    languages = max(1, learnable(docs).select("lang").distinct().count())
     rows = max(1, min(rows, ALL_CHARS // (ROW_CHARS * languages)))
     samples: dict[str, list[str]] = {}
     for row in sample_rows(docs, rows, languages).orderBy("lang", "place").collect():
@@ -232,18 +243,22 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     return fit(samples)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` and ``lang_pred``, ``score``; only ``text`` is looked at.
+def identify(
+    docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score"
+) -> DataFrame:
+    """All columns of ``docs`` and two new ones, by default ``lang_pred`` and ``score``; only
+    ``text`` is looked at.
 
     Null texts, and texts without a letter, are ``und`` with score 0. Columns that have the
     new names are replaced.
     """
-    docs = docs.drop("lang_pred", "score")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.drop(lang, score)
+    # By value, as the functions travel: workers need not have this package.
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = cloudpickle.loads(shared.value)
         for batch in batches:
             texts = batch.column(place).to_pylist()
             names: list[str] = []
@@ -260,10 +275,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 at = end
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"],
+                names=[*batch.schema.names, lang, score],
             )
 
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    added = [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.text import text_key, whole_text
+from linkrank.llm.text import packed, text_key, unpacked, whole_text
 from linkrank.plans.workspace import Workspace
 
 WINDOW = 3
@@ -74,8 +74,9 @@ def dedup_lines(ws: Workspace, docs: DataFrame, window: int = WINDOW) -> DataFra
     lines that stay are joined as they were. A null text stays null, a text of fewer lines
     than a window stays as it is, a text of which no line stays becomes empty.
     """
-    out = _cut(ws, docs, window)
-    return out.select(*[_cut_text(c) if c == "text" else F.col(c) for c in docs.columns])
+    names = ("doc_id", "text")
+    out = _cut(ws, packed(docs, *names), window)
+    return unpacked(out.withColumn("text", _cut_text("text")), docs.columns, names)
 
 
 def line_report(ws: Workspace, docs: DataFrame, window: int = WINDOW) -> DataFrame:

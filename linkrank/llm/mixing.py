@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from linkrank.llm.text import whole_text, word_count
+from linkrank.llm.text import packed, unpacked, whole_text, word_count
 from linkrank.plans.workspace import Workspace
 
 # Weights of the sources, by code point, over and over; how often a document may be taken.
@@ -213,5 +213,7 @@ def mix_sources(ws: Workspace, docs: DataFrame, seed: str = "mix") -> DataFrame:
 
 def mixed_documents(ws: Workspace, docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as the mix takes it."""
+    names = ("doc_id", "text", "source")
     times = F.array_repeat(F.lit(1), F.col("__copies").cast("int"))
-    return _drawn(ws, docs, seed).withColumn("__time", F.explode(times)).select(*docs.columns)
+    drawn = _drawn(ws, packed(docs, *names), seed).withColumn("__time", F.explode(times))
+    return unpacked(drawn, docs.columns, names)

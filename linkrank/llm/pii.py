@@ -34,15 +34,16 @@ PATTERNS = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True))
 TOKEN = r"(?<![A-Za-z0-9._%+:/#=-])[A-Za-z._%+:/#=-]*+[0-9@][A-Za-z0-9._%+:/#=@-]*+"
 # Characters on either side of a token that its context is taken from.
 CONTEXT = 64
-# What a token must look like to be a new identifier of a kind.
+# What a token must look like to be a new identifier of a kind. Anchored and possessive: a
+# token of any length is read once.
 SHAPES = {
-    "email": r"[A-Za-z0-9].*@.*[A-Za-z0-9]",
-    "ip": r"^[0-9A-Fa-f]+([.:][0-9A-Fa-f]*){2,}$",
-    "card": r"^([^0-9]*[0-9]){12,19}[^0-9]*$",
-    "phone": r"^([^0-9]*[0-9]){7,15}[^0-9]*$",
+    "email": r"^[^A-Za-z0-9]*+[A-Za-z0-9][^@]*+@[^A-Za-z0-9]*+[A-Za-z0-9]",
+    "ip": r"^[0-9A-Fa-f]++(?:[.:][0-9A-Fa-f]*+){2,}+$",
+    "card": r"^(?:[^0-9]*+[0-9]){12,19}+[^0-9]*+$",
+    "phone": r"^(?:[^0-9]*+[0-9]){7,15}+[^0-9]*+$",
 }
-# Left of a token's text: marks that are no part of it; the same on its right.
-EDGES = r"^[._%+:/#=-]+|[._%+:/#=@-]+$"
+# Marks at the left of a token that are no part of it, and at its right.
+LEFT_MARKS, RIGHT_MARKS = "._%+:/#=-", "._%+:/#=@-"
 
 
 @dataclass(frozen=True)
@@ -152,7 +153,10 @@ def base_spans(text: Column) -> Column:
 
 def occurrences(text: Column) -> Column:
     """Base matches and identifier-like tokens, with their contexts."""
-    either = "|".join(f"(?:{p})" for p in (EMAIL, PHONE, IP, CARD, TOKEN))
+    # Behind a match of another kind no email may start inside a run of its characters: the
+    # run would be read to its end once for every such match.
+    apart = EMAIL.replace(r"\G|", "")
+    either = "|".join(f"(?:{p})" for p in (apart, PHONE, IP, CARD, TOKEN))
     kind = "array<struct<start:bigint,end:bigint,text:string,before:string,after:string>>"
     return F.when(text.rlike("[0-9@]"), matches(text, either).cast(kind)).otherwise(
         F.lit([]).cast(kind)
@@ -166,9 +170,10 @@ def _instances(found: DataFrame) -> DataFrame:
     words before, and the words on both sides.
     """
     one = found.select("doc_id", "key", F.explode("found").alias("o")).select("doc_id", "key", "o.*")
-    # Lowest digits of a token's edges do not belong to it.
-    head = F.length("text") - F.length(F.regexp_replace("text", r"^[._%+:/#=-]+", ""))
-    bare = F.regexp_replace("text", EDGES, "")
+    # Marks at a token's edges do not belong to it.
+    tail = F.ltrim(F.col("text"), F.lit(LEFT_MARKS))
+    head = F.length("text") - F.length(tail)
+    bare = F.rtrim(tail, F.lit(RIGHT_MARKS))
     kind = F.lit(None).cast("string")
     for name in reversed(KINDS):
         kind = F.when(F.col("text").rlike(f"^(?:{PATTERNS[name]})$") & valid(name, F.col("text")), name).otherwise(kind)
@@ -291,7 +296,7 @@ def find_personal_data(
         .select(F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key"), "fresh")
     )
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("key") == F.col("_key"))
-    fresh_or_none = F.coalesce(F.array_except("fresh", "base"), F.array_except("base", "base"))
+    fresh_or_none = F.coalesce(F.array_except("fresh", "base"), F.slice("base", 1, 0))
     return (
         found.select("doc_id", "key", "base")
         .join(fresh, same, "left")

@@ -54,7 +54,7 @@ def shard_rows(ws: Workspace, docs: DataFrame, shards: int = 8) -> DataFrame:
     and the checksum of an empty one. Extra columns are ignored, an empty table stays empty.
     """
     text = whole_text()
-    key = F.coalesce(F.xxhash64("doc_id"), F.lit(0).cast("long"))
+    key = F.coalesce(F.xxhash64(F.col("doc_id").cast("long")), F.lit(0).cast("long"))
     rows = docs.select(
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 # A word is a run of anything but a space and the five ASCII line and tab characters.
 WORD = r"[^\x20\x09-\x0D]+"
-# Values added up by one lambda call, see running_sum.
+# Values added up by one lambda call, and how often blocks are made of blocks, see running_sum.
 BLOCK = 64
+BLOCK_LEVELS = 2
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +33,21 @@ def word_count(text: Column) -> Column:
     return F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).cast("long")
 
 
+# Columns of a table that an operator does not look at, as one.
+OTHERS = "__others"
+
+
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and all others as one: no name that an operator adds can clash."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    return docs.select(*names, (F.struct(*others) if others else F.lit(0)).alias(OTHERS))
+
+
+def unpacked(df: DataFrame, columns: list[str], names: tuple[str, ...]) -> DataFrame:
+    """The columns that a packed table had, in their order."""
+    return df.select(*[F.col(c) if c in names else F.col(OTHERS)[c].alias(c) for c in columns])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often the body's lambdas use it."""
     return F.transform(F.array(value), body)[0]
@@ -40,13 +56,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def running_sum(values: Column) -> Column:
     """For each element of an array of longs the sum of all before it.
 
-    Sums of whole blocks come first, so that no element adds up all of its predecessors.
+    Sums of blocks, and of blocks of blocks, come first: no element adds up more than a block
+    of each, however long the array is.
     """
 
     def total(part: Column) -> Column:
         return F.aggregate(part, F.lit(0).cast("long"), lambda a, x: a + x)
 
-    def sums(v: Column) -> Column:
+    def sums(v: Column, levels: int) -> Column:
+        if not levels:
+            return F.transform(v, lambda _, i: total(F.slice(v, F.lit(1), i)))
         last = F.greatest(F.size(v) - 1, F.lit(0))
         blocks = F.transform(
             F.sequence(F.lit(0), F.floor(last / BLOCK).cast("int")),
@@ -57,10 +76,10 @@ def running_sum(values: Column) -> Column:
             def at(_: Column, i: Column) -> Column:
                 block = F.floor(i / BLOCK).cast("int")
                 inside = F.slice(v, block * BLOCK + 1, i - block * BLOCK)
-                return total(F.slice(b, F.lit(1), block)) + total(inside)
+                return b[block] + total(inside)
 
             return F.transform(v, at)
 
-        return let(blocks, before)
+        return let(let(blocks, lambda b: sums(b, levels - 1)), before)
 
-    return let(values, sums)
+    return let(values, lambda v: sums(v, BLOCK_LEVELS))

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import random
 import struct
+import subprocess
+import sys
+import time
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
 from linkrank.llm import bpe, exact, jaccard, langid, lines, mixing, pii, quality, sharding, suffix
+from linkrank.llm.text import running_sum
 from tests.llm import brute
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -356,3 +363,84 @@ def test_pipeline_stage_by_stage(spark, ws, docs, rows):
     out = tokens(spark, mixed, "").collect()
     assert sorted(r.doc_id for r in out) == sorted(r.doc_id for r in mixed.collect())
     assert all(r.n_tokens * 4 == len(r.ids) for r in out)
+
+
+def test_long_tokens_take_linear_time(spark, ws):
+    rng = random.Random(2)
+    texts = [
+        "".join(rng.choices("0123456789abcdef", k=300_000)),
+        "1" + "-" * 300_000 + "a",
+        "@" * 300_000,
+        "a@" * 150_000,
+        "1-" * 150_000,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    begun = time.time()
+    assert pii.find_personal_data(ws, docs).count() == 5
+    assert time.time() - begun < 60
+
+
+@pytest.mark.parametrize("size", [0, 1, 63, 64, 65, 4095, 4097, 9000])
+def test_running_sum(spark, size):
+    values = F.sequence(F.lit(1).cast("long"), F.lit(size).cast("long")) if size else F.array().cast("array<long>")
+    found = spark.range(1).select(running_sum(values).alias("s")).first().s
+    assert found == [i * (i + 1) // 2 for i in range(size)]
+
+
+def test_repeated_rows_are_parsed_once(spark, ws):
+    body = "".join(random.Random(3).choices("abcdefgh ", k=3000))
+    docs = spark.range(20_000).select(
+        F.lit(None).cast("long").alias("doc_id"),
+        F.when(F.col("id") % 4 == 0, F.concat(F.lit("own "), F.lit(body))).otherwise(F.lit(body)).alias("text"),
+    )
+    rows = suffix.remove_repeats(ws, docs.unionByName(spark.createDataFrame([(1, "x" * 190)], "doc_id long, text string")))
+    assert {tuple(r)[1:4] for r in rows.distinct().collect()} == {(3000, 3000, 1), (3004, 3004, 1), (190, 0, 0)}
+    assert rows.count() == 20_001
+
+
+def test_held_out_labels_teach_nothing(spark):
+    rows = [(i, f"{'abcd efgh' if i % 2 else 'wxyz uvst'} " * 30, "one" if i % 2 else "two") for i in range(200)]
+    held = [i for i in range(1000, 1400) if zlib.crc32(str(i).encode()) % 5 == 0]
+    schema = "doc_id long, text string, lang string"
+    plain = spark.createDataFrame(rows, schema)
+    more = spark.createDataFrame([*rows, *((i, "klmn " * 50, f"held{i}") for i in held)], schema)
+    assert len(held) > 40
+    a, b = langid.learn(plain), langid.learn(more)
+    assert a.languages == b.languages == ["one", "two"] and a.bits == b.bits
+
+
+def test_models_need_no_package_on_workers():
+    model = langid.fit({"one": ["abc abd"], "two": ["xyz xyw"]})
+    code = "import pickle, sys; m = pickle.load(sys.stdin.buffer); print(m.predict(['abc', 'xyz', '1'])[0])"
+    out = subprocess.run(
+        [sys.executable, "-c", code], input=cloudpickle.dumps(model), capture_output=True, cwd="/", check=True
+    )
+    assert out.stdout.decode().strip() == "['one', 'two', 'und']"
+
+
+def test_shard_keys_do_not_depend_on_the_type(spark, ws):
+    ids = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    shards = [
+        {r.doc_id: r.shard for r in sharding.shard_rows(ws, ids.withColumn("doc_id", F.col("doc_id").cast(t)), 8).collect()}
+        for t in ("long", "int")
+    ]
+    assert shards[0] == shards[1]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_stages_keep_clashing_columns(spark, docs, name, stage):
+    names = ("score", "lang_pred", "__gone", "__size", "__key", "__tie", "__id", "__here", "__copies", "__source", "__row", "__lang")
+    clashing = docs.select("*", *(F.lit(i).alias(n) for i, n in enumerate(names)))
+    out = stage(spark, clashing, "")
+    assert out.columns == clashing.columns
+    kept = out.select(*names).distinct().collect()
+    assert [tuple(r) for r in kept] == [tuple(range(len(names)))]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_take_empty_awkward_and_long_texts(spark, empty, awkward, name, stage):
+    assert stage(spark, empty, "").count() == 0
+    assert stage(spark, awkward, "").count() <= 3 * awkward.count()
+    long = spark.createDataFrame([(1, "ab cd\n" * 170_000, "aa", "s", 1)], awkward.schema.fieldNames()[:5])
+    docs = awkward.select(*long.columns).unionByName(long)
+    assert stage(spark, docs, "").where("doc_id = 1").count() >= 1
