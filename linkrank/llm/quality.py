@@ -1,10 +1,11 @@
 """Quality rules: fixed base rules, then robust outliers among documents of one kind.
 
 For each language and source a minimum-covariance-determinant estimate gives centre and
-scatter of five transformed statistics: starting from medians and median deviations, each
-concentration step keeps the three quarters of the rows that lie nearest and estimates anew;
-a last one takes all rows within a chi-square quantile. Documents whose Mahalanobis distance
-is too large are rejected.
+scatter of five transformed statistics. Several fixed starts (median deviations, signs about
+the medians, all rows) are concentrated side by side: each step keeps the three quarters of
+the rows that lie nearest and estimates anew, which never raises the determinant. Of a kind's
+starts the one of least determinant is kept, and a last step takes all rows within a
+chi-square quantile of it. Documents whose Mahalanobis distance is too large are rejected.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from linkrank.llm.text import WORD
 from linkrank.plans.workspace import Workspace
@@ -41,6 +43,9 @@ SMALL_SHARE = 0.01
 FLOORS = (0.15, 0.5, 0.5, 0.5, 0.02)
 DIGITS = 3
 FAR = 10_000.0
+# Bits of a number that one round of counting settles, see order_statistic.
+ROUND_BITS = 8
+ROUNDS = 3
 
 STATS = ("word_length", "symbols", "dup_lines", "repeats", "variety")
 PAIRS = tuple(combinations_with_replacement(range(len(STATS)), 2))
@@ -183,7 +188,8 @@ def floored(scatter: np.ndarray) -> np.ndarray:
 
 
 def inverted(estimates: DataFrame) -> DataFrame:
-    """``(kind, c0.., p00..)``: centres and inverse scatter, from one row per kind."""
+    """``(kind, start, determinant, c0.., p00..)``: the logarithm of the determinant, centres
+    and inverse scatter, from one row per kind and start."""
     names = [f"c{i}" for i in range(len(STATS))] + [f"p{i}{j}" for i, j in PAIRS]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -193,13 +199,60 @@ def inverted(estimates: DataFrame) -> DataFrame:
                 scatter = np.zeros((len(STATS), len(STATS)))
                 for i, j in PAIRS:
                     scatter[i, j] = scatter[j, i] = getattr(row, f"s{i}{j}") or 0.0
-                inverse = np.linalg.inv(floored(scatter))
+                scatter = floored(scatter)
+                inverse = np.linalg.inv(scatter)
+                determinant = round(float(np.linalg.slogdet(scatter)[1]), 9)
                 centre = [getattr(row, f"c{i}") for i in range(len(STATS))]
-                rows.append([row.kind, *centre, *(inverse[i, j] for i, j in PAIRS)])
-            yield pd.DataFrame(rows, columns=["kind", *names])
+                rows.append(
+                    [row.kind, row.start, determinant, *centre, *(inverse[i, j] for i, j in PAIRS)]
+                )
+            yield pd.DataFrame(rows, columns=["kind", "start", "determinant", *names])
 
-    schema = "kind string, " + ", ".join(f"{n} double" for n in names)
-    return estimates.mapInPandas(run, schema)
+    schema = "kind string, start string, determinant double, "
+    return estimates.mapInPandas(run, schema + ", ".join(f"{n} double" for n in names))
+
+
+def order_statistic(ws: Workspace, values: DataFrame, share: float) -> DataFrame:
+    """``(kind, name, value)`` of ``(kind, name, value)`` rows of long values: the least value
+    that such a share of a group's rows does not exceed.
+
+    Counts of the values' leading bits show where it lies, then counts of the next bits of
+    those that share them, and so on: all groups are counted side by side, and no task gets
+    more than a few hundred counts of one group, whatever the group holds.
+    """
+    left, found = values, None
+    for shift in range((ROUNDS - 1) * ROUND_BITS, -1, -ROUND_BITS):
+        bits = F.shiftright("value", shift)
+        counts = left.groupBy("kind", "name", bits.alias("bits")).agg(F.count("*").alias("n"))
+        group = Window.partitionBy("kind", "name")
+        upto = F.sum("n").over(group.orderBy("bits"))
+        if found is None:
+            counts = counts.withColumn("rank", F.ceil(F.sum("n").over(group) * F.lit(share)))
+        else:
+            ranks = found.select("kind", "name", "rank")
+            counts = counts.join(ranks, ["kind", "name"])
+        at = counts.withColumn("upto", upto).where("upto >= rank AND upto - n < rank")
+        rest = (F.col("rank") - (F.col("upto") - F.col("n"))).alias("rank")
+        found = ws.save(at.select("kind", "name", "bits", rest), "bits")
+        if shift:
+            left = left.join(found.drop("rank"), ["kind", "name"]).where(bits == F.col("bits"))
+            left = left.select("kind", "name", "value")
+    return found.select("kind", "name", F.col("bits").alias("value"))
+
+
+def _scaled(value: Column) -> Column:
+    return F.round(value * 10**DIGITS).cast("long").alias("value")
+
+
+def medians(ws: Workspace, points: DataFrame, of: list[Column], prefix: str) -> DataFrame:
+    """``(kind, <prefix>0..)``: medians of a column for each statistic."""
+    named = [F.struct(F.lit(s).alias("name"), _scaled(c)) for s, c in zip(STATS, of, strict=True)]
+    found = order_statistic(ws, points.select("kind", F.inline(F.array(*named))), 0.5)
+    value = F.col("value") / 10.0**DIGITS
+    columns = [
+        F.max(F.when(F.col("name") == s, value)).alias(f"{prefix}{i}") for i, s in enumerate(STATS)
+    ]
+    return ws.save(found.groupBy("kind").agg(*columns), "medians")
 
 
 def squared_distance() -> Column:
@@ -214,46 +267,69 @@ def squared_distance() -> Column:
     return F.least(F.round(total, DIGITS), F.lit(FAR))
 
 
-def estimate(ws: Workspace, points: DataFrame) -> DataFrame:
-    """``(kind, c.., p..)``: each kind's estimate. ``points`` are ``(kind, *STATS)``, a
-    written table."""
+def _moments(near: DataFrame, share: float) -> DataFrame:
+    """Centre and scatter of the rows of each kind and start."""
 
-    def again(near: DataFrame, share: float) -> DataFrame:
-        def scatter(i: int, j: int) -> Column:
-            return consistency(share) * F.covar_pop(STATS[i], STATS[j])
+    def scatter(i: int, j: int) -> Column:
+        return consistency(share) * F.covar_pop(STATS[i], STATS[j])
+
+    return near.groupBy("kind", "start").agg(
+        *[F.round(F.avg(s), 6).alias(f"c{i}") for i, s in enumerate(STATS)],
+        *[F.round(scatter(i, j), 9).alias(f"s{i}{j}") for i, j in PAIRS],
+    )
 
-        found = near.groupBy("kind").agg(
-            *[F.round(F.avg(s), 6).alias(f"c{i}") for i, s in enumerate(STATS)],
-            *[F.round(scatter(i, j), 9).alias(f"s{i}{j}") for i, j in PAIRS],
-        )
-        return ws.save(inverted(found), "model")
 
-    medians = points.groupBy("kind").agg(
-        *[F.percentile(s, F.lit(0.5)).alias(f"c{i}") for i, s in enumerate(STATS)]
+def starts(ws: Workspace, points: DataFrame) -> DataFrame:
+    """``(kind, start, c.., s..)``: the estimates that concentration begins with."""
+    middle = medians(ws, points, [F.col(s) for s in STATS], "c")
+    centred = points.join(middle, "kind")
+    off = [F.col(s) - F.col(f"c{i}") for i, s in enumerate(STATS)]
+    spread = medians(ws, centred, [F.abs(x) for x in off], "m")
+    both = middle.join(spread, "kind")
+    width = [F.greatest(1.4826 * F.col(f"m{i}"), F.lit(f)) for i, f in enumerate(FLOORS)]
+    wide = both.select("kind", *[f"c{i}" for i in range(len(STATS))], *[w.alias(f"w{i}") for i, w in enumerate(width)])
+    wide = ws.save(wide, "widths")
+    centre = [f"c{i}" for i in range(len(STATS))]
+
+    deviations = wide.select(
+        "kind", F.lit("deviations").alias("start"), *centre,
+        *[(F.pow(f"w{i}", F.lit(2)) if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i, j in PAIRS],
+    )
+    # Every row counts by its direction from the medians alone, however far it lies.
+    units = [(F.col(s) - F.col(f"c{i}")) / F.col(f"w{i}") for i, s in enumerate(STATS)]
+    length = F.sqrt(sum((u * u for u in units[1:]), units[0] * units[0]))
+    signs = points.join(wide, "kind").select(
+        "kind", *[F.when(length > 0, u / length).otherwise(0.0).alias(f"u{i}") for i, u in enumerate(units)]
     )
-    medians = ws.save(medians, "medians")
-    spread = (
-        points.join(medians, "kind")
-        .groupBy("kind")
-        .agg(
-            *[F.first(f"c{i}").alias(f"c{i}") for i in range(len(STATS))],
-            *[
-                F.pow(1.4826 * F.percentile(F.round(F.abs(F.col(s) - F.col(f"c{i}")), DIGITS), F.lit(0.5)), 2).alias(f"s{i}{i}")
-                for i, s in enumerate(STATS)
-            ],
-        )
-        .select("*", *[F.lit(0.0).alias(f"s{i}{j}") for i, j in PAIRS if i != j])
+    turned = signs.groupBy("kind").agg(
+        *[F.avg(F.col(f"u{i}") * F.col(f"u{j}")).alias(f"r{i}{j}") for i, j in PAIRS]
     )
-    model = ws.save(inverted(spread), "model")
+    directions = turned.join(wide, "kind").select(
+        "kind", F.lit("signs").alias("start"), *centre,
+        *[F.round(len(STATS) * F.col(f"r{i}{j}") * F.col(f"w{i}") * F.col(f"w{j}"), 9).alias(f"s{i}{j}") for i, j in PAIRS],
+    )
+    everything = _moments(points.withColumn("start", F.lit("all rows")), 1 - 1e-12)
+    return deviations.unionByName(directions).unionByName(everything)
+
+
+def estimate(ws: Workspace, points: DataFrame) -> DataFrame:
+    """``(kind, c.., p..)``: each kind's estimate. ``points`` are ``(kind, *STATS)``, a
+    written table."""
+    model = ws.save(inverted(starts(ws, points)), "model")
     for _ in range(STEPS):
         far = points.join(model, "kind").withColumn("d", squared_distance())
-        limits = ws.save(
-            far.groupBy("kind").agg(F.percentile("d", F.lit(KEPT_SHARE)).alias("limit")), "limits"
+        distances = far.select("kind", F.col("start").alias("name"), _scaled(F.col("d")))
+        limits = order_statistic(ws, distances, KEPT_SHARE).select(
+            "kind", F.col("name").alias("start"), (F.col("value") / 10.0**DIGITS).alias("limit")
         )
-        near = far.join(limits, "kind").where(F.col("d") <= F.col("limit"))
-        model = again(near, KEPT_SHARE)
+        near = far.join(ws.save(limits, "limits"), ["kind", "start"]).where("d <= limit")
+        model = ws.save(inverted(_moments(near, KEPT_SHARE)), "model")
+    least = model.groupBy("kind").agg(F.min(F.struct("determinant", "start")).alias("least"))
+    best = least.select("kind", F.col("least.start").alias("start"))
+    model = ws.save(model.join(best, ["kind", "start"]), "least")
     far = points.join(model, "kind").withColumn("d", squared_distance())
-    return again(far.where(F.col("d") <= quantile(NEAR_SHARE)), NEAR_SHARE)
+    last = _moments(far.where(F.col("d") <= quantile(NEAR_SHARE)), NEAR_SHARE)
+    return ws.save(inverted(last).drop("start", "determinant"), "model")
 
 
 def quality_rules(ws: Workspace, docs: DataFrame) -> DataFrame:

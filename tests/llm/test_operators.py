@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 import struct
 import subprocess
 import sys
@@ -10,6 +12,7 @@ import time
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -444,3 +447,77 @@ def test_stages_take_empty_awkward_and_long_texts(spark, empty, awkward, name, s
     long = spark.createDataFrame([(1, "ab cd\n" * 170_000, "aa", "s", 1)], awkward.schema.fieldNames()[:5])
     docs = awkward.select(*long.columns).unionByName(long)
     assert stage(spark, docs, "").where("doc_id = 1").count() >= 1
+
+
+def test_kept_equals_numpy(spark, ws):
+    from tests.llm import brute_quality
+    from tests.llm.conftest import prose
+
+    rng = random.Random(12)
+    rows = []
+    for i in range(900):
+        words = prose(rng, rng.randint(25, 200), "abcdefghijkl" if i % 3 else "mnopqrst")
+        if i % 9 == 0:
+            words = words.replace(" ", " #$ ") if i % 2 else f"{words}\n{words[:60]}\n{words[:60]}"
+        rows.append((i, words, "aa" if i % 3 else "bb", "s"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r for r in quality.quality_rules(ws, docs).collect()}
+    stats = quality.document_statistics(docs).select("doc_id", "lang", *quality.transformed()).collect()
+    rejected = 0
+    for lang in ("aa", "bb"):
+        some = [r for r in stats if r.lang == lang and not out[r.doc_id].base_failed]
+        found = brute_quality.distances(np.array([[r[s] for s in quality.STATS] for r in some]))
+        for r, d in zip(some, found, strict=True):
+            assert out[r.doc_id].distance == pytest.approx(d, abs=0.02, rel=1e-3)
+            if abs(d - quality.CUT) > 0.1:
+                assert out[r.doc_id].kept == (d <= quality.CUT)
+            rejected += not out[r.doc_id].kept
+    assert 0 < rejected < 300
+
+
+def test_order_statistics(spark, ws):
+    rng = random.Random(4)
+    rows = [(k, "x", rng.choice([0, 5, 70_000, 10**7, rng.randrange(10**7)])) for k in "ab" for _ in range(501)]
+    df = ws.save(spark.createDataFrame(rows, "kind string, name string, value long"), "values")
+    for share in (0.001, 0.5, 0.75, 1.0):
+        found = {r.kind: r.value for r in quality.order_statistic(ws, df, share).collect()}
+        for k in "ab":
+            values = sorted(v for kind, _, v in rows if kind == k)
+            assert found[k] == values[math.ceil(share * 501) - 1]
+
+
+def test_predictions_equal_a_search(spark, docs, rows):
+    """The fewest longest phrases, each searched for in the sample itself."""
+    model = langid.learn(docs)
+    sample = {}
+    for r in langid.sample_rows(docs, languages=3).orderBy("lang", "place").collect():
+        sample.setdefault(r.lang, []).append(r.part)
+
+    def classes(text: str) -> str:
+        return re.sub(r"\x01+", "\x01", "".join(c if c.isalpha() else "\x01" for c in text.lower()))
+
+    found = {r.doc_id: r for r in langid.detect_languages(docs).collect()}
+    for row in rows[:60]:
+        text, costs = classes(row["text"] or ""), {}
+        if not any(c.isalpha() for c in text):
+            assert found[row["doc_id"]].lang_pred == "und"
+            continue
+        for lang, bits in zip(model.languages, model.bits, strict=True):
+            known = classes(" ".join(sample[lang]))
+            count = 0
+            for at in range(0, len(text), langid.BLOCK):
+                block, i = text[at : at + langid.BLOCK], 0
+                while i < len(block):
+                    size = 1
+                    while i + size < len(block) and block[i : i + size + 1] in known:
+                        size += 1
+                    count, i = count + 1, i + size
+            costs[lang] = count * bits
+        assert found[row["doc_id"]].lang_pred == min(costs, key=lambda k: (costs[k], k))
+
+
+def test_shards_follow_the_published_jumps(spark, ws, docs):
+    out = sharding.shard_rows(ws, docs, 8)
+    keyed = out.withColumn("h", F.coalesce(F.xxhash64(F.col("doc_id").cast("long")), F.lit(0)))
+    for r in keyed.collect():
+        assert r.shard == brute.jump(r.h % 2**64, 8) and r.grown_shard == brute.jump(r.h % 2**64, 9)
