@@ -5,7 +5,9 @@ digits or an at sign, are lexical patterns; patterns and instances form a graph.
 scores by its instances that are known for a kind, against those known for others and those
 without the kind's shape: what has the shape and is not known yet speaks for neither. An
 instance scores by its best patterns, in turn. Tokens of a kind's shape that stand in a
-pattern of high confidence are new identifiers. All of it is SQL over columns: no row leaves the JVM.
+pattern of high confidence are new identifiers. Secrets have no base pattern: their seeds are
+long hexadecimal tokens, and only contexts make spans of them. All of it is SQL over columns:
+no row leaves the JVM.
 """
 
 from __future__ import annotations
@@ -29,6 +31,12 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 PATTERNS = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True))
+# Kinds that contexts discover, and what a token must look like to be a seed of the one that
+# has no base pattern.
+SECRET = "secret"
+DISCOVERED = (*KINDS, SECRET)
+MIXED = r"(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])"
+SECRET_SEED = rf"^{MIXED}[0-9A-Fa-f]{{32,}}+$"
 
 # Any token that could be an identifier: it holds a digit or an at sign.
 TOKEN = r"(?<![A-Za-z0-9._%+:/#=-])[A-Za-z._%+:/#=-]*+[0-9@][A-Za-z0-9._%+:/#=@-]*+"
@@ -41,6 +49,7 @@ SHAPES = {
     "ip": r"^[0-9A-Fa-f]++(?:[.:][0-9A-Fa-f]*+){2,}+$",
     "card": r"^(?:[^0-9]*+[0-9]){12,19}+[^0-9]*+$",
     "phone": r"^(?:[^0-9]*+[0-9]){7,15}+[^0-9]*+$",
+    SECRET: rf"^{MIXED}[A-Za-z0-9+/=_-]{{16,}}+$",
 }
 # Marks at the left of a token that are no part of it, and at its right.
 LEFT_MARKS, RIGHT_MARKS = "._%+:/#=-", "._%+:/#=@-"
@@ -156,7 +165,9 @@ def occurrences(text: Column) -> Column:
     # Behind a match of another kind no email may start inside a run of its characters: the
     # run would be read to its end once for every such match.
     apart = EMAIL.replace(r"\G|", "")
-    either = "|".join(f"(?:{p})" for p in (apart, PHONE, IP, CARD, TOKEN))
+    # Digits inside a word are no number of their own.
+    number = rf"(?<![A-Za-z0-9]){CARD}(?![A-Za-z0-9])"
+    either = "|".join(f"(?:{p})" for p in (apart, PHONE, IP, number, TOKEN))
     kind = "array<struct<start:bigint,end:bigint,text:string,before:string,after:string>>"
     return F.when(text.rlike("[0-9@]"), matches(text, either).cast(kind)).otherwise(
         F.lit([]).cast(kind)
@@ -166,15 +177,15 @@ def occurrences(text: Column) -> Column:
 def _instances(found: DataFrame) -> DataFrame:
     """``(doc_id, key, start, end, instance, kind, patterns)``: one row per occurrence.
 
-    ``kind`` is that of a base match, null for others; patterns are the word before, the two
-    words before, and the words on both sides.
+    ``kind`` is that of a base match or of a secret's seed, null for others; patterns are the
+    word before, the two words before, and the words on both sides.
     """
     one = found.select("doc_id", "key", F.explode("found").alias("o")).select("doc_id", "key", "o.*")
     # Marks at a token's edges do not belong to it.
     tail = F.ltrim(F.col("text"), F.lit(LEFT_MARKS))
     head = F.length("text") - F.length(tail)
     bare = F.rtrim(tail, F.lit(RIGHT_MARKS))
-    kind = F.lit(None).cast("string")
+    kind = F.when(bare.rlike(SECRET_SEED), F.lit(SECRET))
     for name in reversed(KINDS):
         kind = F.when(F.col("text").rlike(f"^(?:{PATTERNS[name]})$") & valid(name, F.col("text")), name).otherwise(kind)
     left = F.regexp_extract_all(F.lower("before"), F.lit(WORD), F.lit(0))
@@ -191,7 +202,7 @@ def _instances(found: DataFrame) -> DataFrame:
             F.concat(F.lit("<>"), last, F.lit(" "), first),
         )
     )
-    base = F.col("kind").isNotNull()
+    base = F.coalesce(F.col("kind") != SECRET, F.lit(False))
     start = F.when(base, F.col("start")).otherwise(F.col("start") + F.col("head"))
     return words.where(base | (F.length("bare") > 0)).select(
         "doc_id",
@@ -207,7 +218,7 @@ def _instances(found: DataFrame) -> DataFrame:
 def _fits(instance: Column) -> Column:
     """Kinds whose shape a token has."""
     return F.array_compact(
-        F.array(*[F.when(instance.rlike(SHAPES[k]), F.lit(k)) for k in KINDS])
+        F.array(*[F.when(instance.rlike(SHAPES[k]), F.lit(k)) for k in DISCOVERED])
     )
 
 
@@ -228,12 +239,12 @@ def trusted_patterns(ws: Workspace, instances: DataFrame, how: Bootstrap) -> Dat
     def fitting(kind: str) -> Column:
         return F.array_contains("fits", kind)
 
-    unfit = [F.sum(F.when(~fitting(k), F.col("n")).otherwise(0)).alias(f"unfit_{k}") for k in KINDS]
+    unfit = [F.sum(F.when(~fitting(k), F.col("n")).otherwise(0)).alias(f"unfit_{k}") for k in DISCOVERED]
     unfit = ws.save(flat.groupBy("pattern").agg(*unfit), "unfit")
     for _ in range(how.rounds):
         kinds = F.map_from_entries(F.collect_list(F.struct("kind", "sure")))
         sums = []
-        for k in KINDS:
+        for k in DISCOVERED:
             sure = F.try_element_at("sures", F.lit(k))
             sums += [
                 F.coalesce(F.sum(sure * F.col("n")), F.lit(0.0)).alias(f"hits_{k}"),
@@ -246,7 +257,7 @@ def trusted_patterns(ws: Workspace, instances: DataFrame, how: Bootstrap) -> Dat
                 F.col(f"support_{k}").alias("support"),
                 F.try_divide(f"hits_{k}", F.col(f"unfit_{k}") + F.col(f"known_{k}")).alias("score"),
             )
-            for k in KINDS
+            for k in DISCOVERED
         ]
         scored = (
             flat.join(known.groupBy("instance").agg(kinds.alias("sures")), "instance")
@@ -287,7 +298,7 @@ def find_personal_data(
     instances = ws.save(_instances(found.where(F.size("found") > 0)), "instances")
     trusted = trusted_patterns(ws, instances, how)
     fresh = (
-        instances.where("kind IS NULL")
+        instances.where(f"kind IS NULL OR kind = '{SECRET}'")
         .select("doc_id", "key", "start", "end", "instance", F.explode("patterns").alias("pattern"))
         .join(trusted, "pattern")
         .where(F.array_contains(_fits(F.col("instance")), F.col("kind")))
@@ -305,11 +316,12 @@ def find_personal_data(
 
 
 def joined(spans: Column) -> Column:
-    """``kind:start:end`` of all spans, by kind as listed, then start, comma-joined."""
+    """``kind:start:end`` of all spans, by kind as listed (secrets last), then start,
+    comma-joined."""
 
     def ranked(s: Column) -> Column:
         rank = F.lit(0)
-        for i, kind in enumerate(KINDS):
+        for i, kind in enumerate(DISCOVERED):
             rank = F.when(s["kind"] == kind, i).otherwise(rank)
         return F.struct(rank.alias("rank"), s["start"], s["end"], s["kind"])
 
@@ -324,13 +336,14 @@ def joined(spans: Column) -> Column:
 
 
 def span_digest(found: DataFrame) -> DataFrame:
-    """``(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans)`` of found spans; the
-    counts are those of the base spans."""
+    """``(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret)`` of found
+    spans; the counts are those of the base spans, but for the secrets."""
 
-    def count(kind: str) -> Column:
-        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    def count(kind: str, spans: str = "base") -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
     counts = [count(k).alias(f"n_{k}") for k in KINDS]
     return found.select(
-        "doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+        "doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        count(SECRET, "spans").alias("n_secret"),
     )

@@ -521,3 +521,20 @@ def test_shards_follow_the_published_jumps(spark, ws, docs):
     keyed = out.withColumn("h", F.coalesce(F.xxhash64(F.col("doc_id").cast("long")), F.lit(0)))
     for r in keyed.collect():
         assert r.shard == brute.jump(r.h % 2**64, 8) and r.grown_shard == brute.jump(r.h % 2**64, 9)
+
+
+def test_contexts_of_long_secrets_discover_others(spark, ws):
+    rng = random.Random(7)
+
+    def key(n: int) -> str:
+        return "a1" + "".join(rng.choices("0123456789abcdef", k=n - 2))
+
+    texts = [f'some words token = "{key(40)}" and more' for _ in range(20)]
+    texts += [f'other TOKEN = "{key(20)}Z_x" end', f"commit {key(40)} stays", 'the token = "short1" too', "no 12 key"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.span_digest(pii.find_personal_data(ws, docs)).collect()}
+    start = texts[20].index("a1")
+    assert out[20].spans == f"secret:{start}:{start + 23}" and out[20].n_secret == 1
+    assert all(out[i].n_secret == 1 for i in range(20))
+    assert all(out[i].spans == "" for i in (21, 22, 23))
+    assert all(r.base_sha256 == brute.sha("") for r in out.values())
