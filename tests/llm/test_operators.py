@@ -538,3 +538,27 @@ def test_contexts_of_long_secrets_discover_others(spark, ws):
     assert all(out[i].n_secret == 1 for i in range(20))
     assert all(out[i].spans == "" for i in (21, 22, 23))
     assert all(r.base_sha256 == brute.sha("") for r in out.values())
+
+
+def test_spans_equal_rounds_with_dictionaries(spark, ws, rows):
+    from tests.llm import brute_pii
+
+    rng = random.Random(21)
+    made = []
+    for i in range(400):
+        number = f"{rng.randint(100, 999)}-{rng.randint(1000, 9999)}"
+        value = rng.choice(
+            [f"+1 (286) {number}", number, f"a{i}@b{i % 7}.org", f"a{i}@home", f"10.0.{i % 256}.{i % 9}", f"10:0:{i}:f",
+             "x1" + "".join(rng.choices("0123456789abcdef", k=rng.choice([10, 20, 38]))), f"{i}"]
+        )
+        word = rng.choice(["phone:", "mail", 'key = "', "item", "at the"])
+        made.append({"doc_id": 1000 + i, "text": f"see {word} {value} {rng.choice(['now', 'then', ''])}"})
+    made += [{"doc_id": 3000 + i, "text": f"call phone: +1 (286) 555-{i + 1000} now"} for i in range(40)]
+    made += [{"doc_id": 4000 + i, "text": f"call phone: 555-{i + 2000} now"} for i in range(9)]
+    docs = [*made, *({"doc_id": r["doc_id"], "text": r["text"]} for r in rows)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for how in (pii.Bootstrap(), pii.Bootstrap(confidence=0.5, support=2, known=0.5)):
+        out = pii.span_digest(pii.find_personal_data(ws, df, how))
+        expected = brute_pii.spans(docs, how)
+        assert sorted((r.doc_id, r.spans) for r in out.collect()) == sorted(expected)
+        assert sum("4000" <= str(d) < "4010" and s.startswith("phone") for d, s in expected) == 9
