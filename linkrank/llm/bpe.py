@@ -29,11 +29,13 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-# Entries that a table keeps before it starts anew.
-TRANSITIONS = 60_000
-PIECES = 400_000
+# Entries that a table keeps before it starts anew: about 800 and 200 bytes each. A worker
+# that does little else may keep more pieces, see bpe_ids.
+TRANSITIONS = 40_000
+PIECES = 200_000
 # Ids that decoding handles at a time; pieces that encoding handles at a time.
 STRETCH = 65_536
 # Characters from which on pieces are not listed all at once.
@@ -278,7 +280,8 @@ class Utf8Stream:
 class Codec:
     """Texts to ids and back: pieces by a pattern, each piece by the transducer."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = PIECES):
+        self.most = most
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
         self.tokens = self.transducer.tokens
@@ -297,7 +300,7 @@ class Codec:
                 encoded = self.transducer.encode(piece.encode("utf-8", "replace"))
                 ids = struct.pack(f"<{len(encoded)}I", *encoded)
                 if len(piece) <= 64:
-                    if len(known) >= PIECES:
+                    if len(known) >= self.most:
                         known.clear()
                     known[piece] = ids
             out.append(ids)
@@ -332,21 +335,24 @@ def _slices(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield begun, part
 
 
-def _codec(path: str, pattern: str, ranks: dict[bytes, int]) -> Codec:
+def _codec(path: str, pattern: str, most: int, ranks: Broadcast) -> Codec:
     """The codec of this worker process: what it has learned serves all its tasks."""
     kept = sys.modules.setdefault(KEPT, ModuleType(KEPT)).__dict__
-    if kept.get("key") != (path, pattern):
-        kept["codec"], kept["key"] = Codec(ranks, pattern), (path, pattern)
+    if kept.get("key") != (path, pattern, most):
+        kept["codec"], kept["key"] = Codec(ranks.value, pattern, most), (path, pattern, most)
     return kept["codec"]
 
 
-def bpe_ids(docs: DataFrame, ranks_path: str | Path, pattern: str) -> DataFrame:
+def bpe_ids(
+    docs: DataFrame, ranks_path: str | Path, pattern: str, pieces: int = PIECES
+) -> DataFrame:
     """``(doc_id, ids, n_tokens, ids_sha256, decoded_sha256)`` of every whole text.
 
     ``ids`` are little-endian unsigned 32-bit integers; ``decoded_sha256`` is taken from the
     text that streaming decode returns. Null counts as empty: no ids. Extra columns are
     ignored, rows stay as many as they are. The ranks are the vocabulary file's, a few MB
-    whatever the table; they are broadcast.
+    whatever the table; they are broadcast. ``pieces`` is how many outputs a worker process
+    keeps: more of them cost memory and save work, and change no id.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
     path = str(ranks_path)
@@ -358,7 +364,7 @@ def bpe_ids(docs: DataFrame, ranks_path: str | Path, pattern: str) -> DataFrame:
         return digest.hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(path, pattern, ranks.value)
+        codec = _codec(path, pattern, pieces, ranks)
         for batch in batches:
             doc_ids = batch.column("doc_id").cast(pa.int64())
             for at, texts in _slices(batch.column("text").to_pylist()):

@@ -23,6 +23,8 @@ from linkrank.llm.text import documents
 from linkrank.plans.workspace import Workspace
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+# Pieces that a worker keeps where encoding is all it does: some 300 MB.
+KEPT_PIECES = 1_500_000
 
 
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +69,8 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe_ids(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
+    docs = documents(spark, sf_dir)
+    encoded = bpe_ids(docs, RANKS, public_tokenizers.PATTERN, KEPT_PIECES)
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
