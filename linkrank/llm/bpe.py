@@ -18,10 +18,12 @@ tables last as long as the worker process.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import struct
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import islice
 from pathlib import Path
 from types import ModuleType
@@ -32,10 +34,6 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-# Entries that a table keeps before it starts anew: about 800 and 200 bytes each. A worker
-# that does little else may keep more pieces, see bpe_ids.
-TRANSITIONS = 40_000
-PIECES = 200_000
 # Ids that decoding handles at a time; pieces that encoding handles at a time.
 STRETCH = 65_536
 # Characters from which on pieces are not listed all at once.
@@ -44,6 +42,18 @@ LONG_TEXT = 1_000_000
 SLICE_CHARS = 1_000_000
 
 NO_TOKEN = -1
+
+
+@dataclass(frozen=True)
+class Tables:
+    """Entries that a worker's tables keep before they start anew: transitions of about 800
+    bytes, outputs of whole pieces of about 200. More cost memory and save work; no id
+    depends on them."""
+
+    transitions: int = 40_000
+    pieces: int = 200_000
+
+
 # Under this name a worker process keeps its codec from one task to the next.
 KEPT = "_linkrank_codec"
 
@@ -78,8 +88,8 @@ class Transducer:
     end: their places and nodes of the trie.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], most: int = Tables.transitions):
+        self.ranks, self.most = ranks, most
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.above = max(ranks.values(), default=0) + 2
@@ -162,7 +172,7 @@ class Transducer:
 
     def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The next state and the tokens that have become final."""
-        if len(self.moves) >= TRANSITIONS:
+        if len(self.moves) >= self.most:
             kept = self.states[state]
             self.reset()
             state = self._number(*kept)
@@ -280,9 +290,9 @@ class Utf8Stream:
 class Codec:
     """Texts to ids and back: pieces by a pattern, each piece by the transducer."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = PIECES):
-        self.most = most
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, tables: Tables = Tables()):
+        self.most = tables.pieces
+        self.transducer = Transducer(ranks, tables.transitions)
         self.pattern = regex.compile(pattern)
         self.tokens = self.transducer.tokens
         self.pieces: dict[str, bytes] = {}
@@ -335,24 +345,24 @@ def _slices(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield begun, part
 
 
-def _codec(path: str, pattern: str, most: int, ranks: Broadcast) -> Codec:
+def _codec(path: str, pattern: str, tables: Tables, ranks: Broadcast) -> Codec:
     """The codec of this worker process: what it has learned serves all its tasks."""
     kept = sys.modules.setdefault(KEPT, ModuleType(KEPT)).__dict__
-    if kept.get("key") != (path, pattern, most):
-        kept["codec"], kept["key"] = Codec(ranks.value, pattern, most), (path, pattern, most)
+    key = (path, pattern, tables.transitions, tables.pieces)
+    if kept.get("key") != key:
+        kept["codec"], kept["key"] = Codec(ranks.value, pattern, tables), key
     return kept["codec"]
 
 
 def bpe_ids(
-    docs: DataFrame, ranks_path: str | Path, pattern: str, pieces: int = PIECES
+    docs: DataFrame, ranks_path: str | Path, pattern: str, tables: Tables = Tables()
 ) -> DataFrame:
     """``(doc_id, ids, n_tokens, ids_sha256, decoded_sha256)`` of every whole text.
 
     ``ids`` are little-endian unsigned 32-bit integers; ``decoded_sha256`` is taken from the
     text that streaming decode returns. Null counts as empty: no ids. Extra columns are
     ignored, rows stay as many as they are. The ranks are the vocabulary file's, a few MB
-    whatever the table; they are broadcast. ``pieces`` is how many outputs a worker process
-    keeps: more of them cost memory and save work, and change no id.
+    whatever the table; they are broadcast.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
     path = str(ranks_path)
@@ -364,21 +374,25 @@ def bpe_ids(
         return digest.hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(path, pattern, pieces, ranks)
-        for batch in batches:
-            doc_ids = batch.column("doc_id").cast(pa.int64())
-            for at, texts in _slices(batch.column("text").to_pylist()):
-                ids = [codec.encode(t) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        doc_ids.slice(at, len(ids)),
-                        pa.array(ids, pa.binary()),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                        pa.array([digest_of(codec, x) for x in ids], pa.string()),
-                    ],
-                    names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        codec = _codec(path, pattern, tables, ranks)
+        gc.disable()  # the tables hold no cycles: to walk them again and again finds nothing
+        try:
+            for batch in batches:
+                doc_ids = batch.column("doc_id").cast(pa.int64())
+                for at, texts in _slices(batch.column("text").to_pylist()):
+                    ids = [codec.encode(t) for t in texts]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            doc_ids.slice(at, len(ids)),
+                            pa.array(ids, pa.binary()),
+                            pa.array([len(x) // 4 for x in ids], pa.int64()),
+                            pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                            pa.array([digest_of(codec, x) for x in ids], pa.string()),
+                        ],
+                        names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
+                    )
+        finally:
+            gc.enable()
 
     return docs.select("doc_id", "text").mapInArrow(
         run,

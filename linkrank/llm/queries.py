@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.llm.bpe import bpe_ids
+from linkrank.llm.bpe import Tables, bpe_ids
 from linkrank.llm.conversations import damaged, repair_conversations, turns_digest
 from linkrank.llm.exact import exact_duplicates
 from linkrank.llm.jaccard import Similarity, near_duplicates
@@ -23,8 +23,8 @@ from linkrank.llm.text import documents
 from linkrank.plans.workspace import Workspace
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-# Pieces that a worker keeps where encoding is all it does: some 300 MB.
-KEPT_PIECES = 1_500_000
+# What a worker keeps where encoding is all it does: some 400 MB.
+KEPT = Tables(transitions=150_000, pieces=1_500_000)
 
 
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    encoded = bpe_ids(docs, RANKS, public_tokenizers.PATTERN, KEPT_PIECES)
+    encoded = bpe_ids(docs, RANKS, public_tokenizers.PATTERN, KEPT)
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
