@@ -20,7 +20,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from linkrank.llm.text import WORD
 from linkrank.plans.workspace import Workspace
@@ -43,10 +42,6 @@ SMALL_SHARE = 0.01
 FLOORS = (0.15, 0.5, 0.5, 0.5, 0.02)
 DIGITS = 3
 FAR = 10_000.0
-# Bits of a number that one round of counting settles, see order_statistic.
-ROUND_BITS = 8
-ROUNDS = 3
-
 STATS = ("word_length", "symbols", "dup_lines", "repeats", "variety")
 PAIRS = tuple(combinations_with_replacement(range(len(STATS)), 2))
 
@@ -212,32 +207,15 @@ def inverted(estimates: DataFrame) -> DataFrame:
     return estimates.mapInPandas(run, schema + ", ".join(f"{n} double" for n in names))
 
 
-def order_statistic(ws: Workspace, values: DataFrame, share: float) -> DataFrame:
+def order_statistic(values: DataFrame, share: float) -> DataFrame:
     """``(kind, name, value)`` of ``(kind, name, value)`` rows of long values: the least value
     that such a share of a group's rows does not exceed.
 
-    Counts of the values' leading bits show where it lies, then counts of the next bits of
-    those that share them, and so on: all groups are counted side by side, and no task gets
-    more than a few hundred counts of one group, whatever the group holds.
+    Tasks count equal values before the shuffle. Statistics and distances are rounded, so a
+    group has at most some 10 million different ones, however many rows it has.
     """
-    left, found = values, None
-    for shift in range((ROUNDS - 1) * ROUND_BITS, -1, -ROUND_BITS):
-        bits = F.shiftright("value", shift)
-        counts = left.groupBy("kind", "name", bits.alias("bits")).agg(F.count("*").alias("n"))
-        group = Window.partitionBy("kind", "name")
-        upto = F.sum("n").over(group.orderBy("bits"))
-        if found is None:
-            counts = counts.withColumn("rank", F.ceil(F.sum("n").over(group) * F.lit(share)))
-        else:
-            ranks = found.select("kind", "name", "rank")
-            counts = counts.join(ranks, ["kind", "name"])
-        at = counts.withColumn("upto", upto).where("upto >= rank AND upto - n < rank")
-        rest = (F.col("rank") - (F.col("upto") - F.col("n"))).alias("rank")
-        found = ws.save(at.select("kind", "name", "bits", rest), "bits")
-        if shift:
-            left = left.join(found.drop("rank"), ["kind", "name"]).where(bits == F.col("bits"))
-            left = left.select("kind", "name", "value")
-    return found.select("kind", "name", F.col("bits").alias("value"))
+    least = F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY value)")
+    return values.groupBy("kind", "name").agg(least.cast("long").alias("value"))
 
 
 def _scaled(value: Column) -> Column:
@@ -247,7 +225,7 @@ def _scaled(value: Column) -> Column:
 def medians(ws: Workspace, points: DataFrame, of: list[Column], prefix: str) -> DataFrame:
     """``(kind, <prefix>0..)``: medians of a column for each statistic."""
     named = [F.struct(F.lit(s).alias("name"), _scaled(c)) for s, c in zip(STATS, of, strict=True)]
-    found = order_statistic(ws, points.select("kind", F.inline(F.array(*named))), 0.5)
+    found = order_statistic(points.select("kind", F.inline(F.array(*named))), 0.5)
     value = F.col("value") / 10.0**DIGITS
     columns = [
         F.max(F.when(F.col("name") == s, value)).alias(f"{prefix}{i}") for i, s in enumerate(STATS)
@@ -319,7 +297,7 @@ def estimate(ws: Workspace, points: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         far = points.join(model, "kind").withColumn("d", squared_distance())
         distances = far.select("kind", F.col("start").alias("name"), _scaled(F.col("d")))
-        limits = order_statistic(ws, distances, KEPT_SHARE).select(
+        limits = order_statistic(distances, KEPT_SHARE).select(
             "kind", F.col("name").alias("start"), (F.col("value") / 10.0**DIGITS).alias("limit")
         )
         near = far.join(ws.save(limits, "limits"), ["kind", "start"]).where("d <= limit")

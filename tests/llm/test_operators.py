@@ -480,7 +480,7 @@ def test_order_statistics(spark, ws):
     rows = [(k, "x", rng.choice([0, 5, 70_000, 10**7, rng.randrange(10**7)])) for k in "ab" for _ in range(501)]
     df = ws.save(spark.createDataFrame(rows, "kind string, name string, value long"), "values")
     for share in (0.001, 0.5, 0.75, 1.0):
-        found = {r.kind: r.value for r in quality.order_statistic(ws, df, share).collect()}
+        found = {r.kind: r.value for r in quality.order_statistic(df, share).collect()}
         for k in "ab":
             values = sorted(v for kind, _, v in rows if kind == k)
             assert found[k] == values[math.ceil(share * 501) - 1]
