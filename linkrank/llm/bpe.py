@@ -12,7 +12,7 @@ the merges that made them. So a step takes a few lookups and merges nothing anew
 
 A state is the last emitted token and the bytes after it. Transitions are worked out when
 they are first taken and kept in a table of bounded size, as are outputs of whole pieces;
-tables last as long as the worker process.
+tables serve all tasks of a call that run in one worker process.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import gc
 import hashlib
 import struct
 import sys
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -345,10 +346,9 @@ def _slices(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield begun, part
 
 
-def _codec(path: str, pattern: str, tables: Tables, ranks: Broadcast) -> Codec:
-    """The codec of this worker process: what it has learned serves all its tasks."""
+def _codec(key: str, pattern: str, tables: Tables, ranks: Broadcast) -> Codec:
+    """The codec of this worker process: what it learns serves all tasks of one call."""
     kept = sys.modules.setdefault(KEPT, ModuleType(KEPT)).__dict__
-    key = (path, pattern, tables.transitions, tables.pieces)
     if kept.get("key") != key:
         kept["codec"], kept["key"] = Codec(ranks.value, pattern, tables), key
     return kept["codec"]
@@ -365,7 +365,7 @@ def bpe_ids(
     whatever the table; they are broadcast.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
-    path = str(ranks_path)
+    call = uuid.uuid4().hex
 
     def digest_of(codec: Codec, ids: bytes) -> str:
         digest = hashlib.sha256()
@@ -374,7 +374,7 @@ def bpe_ids(
         return digest.hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(path, pattern, tables, ranks)
+        codec = _codec(call, pattern, tables, ranks)
         gc.disable()  # the tables hold no cycles: to walk them again and again finds nothing
         try:
             for batch in batches:

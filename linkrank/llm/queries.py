@@ -23,8 +23,8 @@ from linkrank.llm.text import documents
 from linkrank.plans.workspace import Workspace
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-# What a worker keeps where encoding is all it does: some 400 MB.
-KEPT = Tables(transitions=150_000, pieces=1_500_000)
+# What a worker keeps where encoding is all it does: some 550 MB.
+KEPT = Tables(transitions=300_000, pieces=1_500_000)
 
 
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
