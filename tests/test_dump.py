@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import bz2
 import random
+from pathlib import Path
 
 import pytest
 
@@ -9,6 +10,7 @@ from linkrank.operators.pages import parse_pages
 from linkrank.plans.ranking import link_graph_from_pages
 from linkrank.sources import read_pages
 from tests import brute
+from workload.fixtures import write_hard_dump
 
 
 def blocks(spark, tmp_path, text):
@@ -127,3 +129,18 @@ def test_broken_utf8_titles_meet_their_links(spark, ws, tmp_path):
     )
     graph = link_graph_from_pages(ws, parse_pages(read_pages(spark, str(path))))
     assert [(row.src, row.dst) for row in graph.edges.collect()] == [("B", "Caf\ufffd_\ufffd")]
+
+
+def test_files_of_a_larger_hard_dump_are_no_larger(spark, tmp_path):
+    docs = spark.range(2_000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    docs.repartition(40).write.parquet(f"{tmp_path}/documents.parquet")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8k")  # about a file a partition
+    try:
+        folder, _ = write_hard_dump(spark, str(tmp_path), f"{tmp_path}/dump")
+    finally:
+        spark.conf.set(key, before)
+    files = [p.read_text() for p in Path(folder).glob("part-*")]
+    assert len(files) >= 80 and all(text.endswith("</title><text>off\n") for text in files)
+    assert max(text.count("</page>") for text in files) < 2_000 / 8

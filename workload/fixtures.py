@@ -64,6 +64,9 @@ SELECT CASE WHEN doc_id = 3 THEN '' ELSE concat('T', {char}(CAST(9 + doc_id % 5
 FROM {documents} WHERE text IS NOT NULL
 """
 
+# Files of a hard dump for each partition that its documents are read in.
+FILES_PER_PARTITION = 4
+
 # Parts of these sizes have a page; the others are only linked to.
 LISTED_SIZE = 40
 
@@ -88,16 +91,21 @@ def write_hard_dump(spark: SparkSession, sf_dir: str, path: str) -> list[str]:
     """Write a dump that is hard to read; its folders.
 
     Files of the first folder end inside a page; those of the second with an end tag, not
-    even a new line follows.
+    even a new line follows. The first has more files the more partitions the documents are
+    read in, so no task writes more of a larger dump.
     """
     sql = HARD_SQL.format(text_type="STRING", documents="{documents}", line="\n")
     lines = spark.sql(sql, documents=table(spark, sf_dir, "documents"))
     ends = F.endswith("line", F.lit("</page>")) & F.startswith("line", F.lit("<page><title>End"))
-    off = F.concat(F.lit("<page><title>Cut "), F.col("part"), F.lit("</title><text>off"))
-    cut = lines.select("part").distinct().select("part", off.alias("line"), F.lit(1).alias("last"))
-    whole = lines.where(~ends).select("part", "line", F.lit(0).alias("last"))
-    files = whole.unionByName(cut).repartition(8, "part").sortWithinPartitions("last")
-    files.select("line").write.text(f"{path}/cut")
+    parts = lines.select(F.spark_partition_id()).distinct().count()
+    files = max(8, FILES_PER_PARTITION * parts)
+    # Many keys a file, so that hardly any file has none and all are of a size.
+    deal = F.monotonically_increasing_id() % (16 * files)
+    off = F.concat(F.lit("<page><title>Cut "), F.col("id"), F.lit("</title><text>off"))
+    cut = spark.range(16 * files).select(F.col("id").alias("deal"), off.alias("line"), F.lit(1).alias("last"))
+    whole = lines.where(~ends).select(deal.alias("deal"), "line", F.lit(0).alias("last"))
+    dealt = whole.unionByName(cut).repartition(files, "deal").sortWithinPartitions("last")
+    dealt.select("line").write.text(f"{path}/cut")
     bare = F.substring_index("line", "</page>", 1)
     lines.where(ends).select(bare.alias("line")).write.option("lineSep", "</page>").text(f"{path}/ends")
     return [f"{path}/cut", f"{path}/ends"]
