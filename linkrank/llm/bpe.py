@@ -10,9 +10,11 @@ The last token of a prefix is the one token it ends with that may follow the las
 what is before: two tokens may stand side by side if no merge across their border comes before
 the merges that made them. So a step takes a few lookups and merges nothing anew.
 
-A state is the last emitted token and the bytes after it. Transitions are worked out when
-they are first taken and kept in a table of bounded size, as are outputs of whole pieces;
-tables serve all tasks of a call that run in one worker process.
+A state holds no more than what follows can depend on: where tokens have begun, how far each
+is read, and the tokens in front of them back to the last emitted one; that one itself only
+while a token may follow it directly. Prefixes that agree in these are one state. Transitions
+are worked out when they are first taken and kept in a table of bounded size, as are outputs
+of whole pieces; tables serve all tasks of a call that run in one worker process.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import hashlib
 import struct
 import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import islice
 from pathlib import Path
@@ -84,9 +86,9 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 class Transducer:
     """Encodes pieces of text; ``ranks`` are the compiled merges.
 
-    All tokens make up a trie. A state is the last emitted token, the bytes after it, the last
-    token of every prefix of these bytes, and where tokens begin that are not read to their
-    end: their places and nodes of the trie.
+    All tokens make up a trie. A state is the last emitted token, the last token of every
+    prefix of the bytes after it, and where tokens begin that are not read to their end: their
+    places and nodes of the trie. What no token that may come can ask for is ``NO_TOKEN``.
     """
 
     def __init__(self, ranks: dict[bytes, int], most: int = Tables.transitions):
@@ -109,15 +111,18 @@ class Transducer:
                     self.token_at.append(NO_TOKEN)
                 node = self.trie[key]
             self.token_at[node] = rank
+        # By state, eight bits up, and byte: the next state, eight bits up, and final tokens.
+        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.states: list[tuple] = []
+        self.pairs: dict[int, bool] = {}
         self.reset()
 
     def reset(self) -> None:
         """Forget all states but the first."""
-        self.states: list[tuple] = [(NO_TOKEN, b"", (), ((0, 0),))]
-        self.numbers = {(NO_TOKEN, b""): 0}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.moves.clear()
+        self.states[:] = [(NO_TOKEN, (), ((0, 0),))]
+        self.numbers = {self.states[0]: 0}
         self.ends: dict[int, tuple[int, ...]] = {0: ()}
-        self.pairs: dict[int, bool] = {}
 
     def parts(self, rank: int) -> tuple[int, int] | None:
         """The two tokens that a token is merged from; itself twice for a single byte, None
@@ -161,24 +166,25 @@ class Transducer:
 
     def fits(self, before: int, rank: int) -> bool:
         """Whether a token may be the last one behind another, or at a piece's begin."""
-        if self.parts(rank) is None:
-            return False
-        if before == NO_TOKEN:
-            return True
         key = before << 32 | rank
         known = self.pairs.get(key)
         if known is None:
-            known = self.pairs[key] = self.may_follow(before, rank)
+            known = self.parts(rank) is not None
+            if known and before != NO_TOKEN:
+                known = self.may_follow(before, rank)
+            if len(self.pairs) >= self.most:
+                self.pairs.clear()
+            self.pairs[key] = known
         return known
 
     def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The next state and the tokens that have become final."""
+        before, lasts, begun = self.states[state >> 8]
         if len(self.moves) >= self.most:
-            kept = self.states[state]
             self.reset()
-            state = self._number(*kept)
-        before, held, lasts, begun = self.states[state]
+            state = self._number((before, lasts, begun)) << 8
         trie, token_at, inner = self.trie, self.token_at, self.inner
+        known = self.pairs.get
         # The one token that fits ends here; tokens that could still come go on.
         last, going = NO_TOKEN, []
         for start, node in begun:
@@ -187,15 +193,16 @@ class Transducer:
                 continue
             rank = token_at[child]
             if last == NO_TOKEN and rank != NO_TOKEN:
-                if self.fits(lasts[start - 1] if start else before, rank):
+                first = lasts[start - 1] if start else before
+                fits = known(first << 32 | rank)
+                if fits or fits is None and self.fits(first, rank):
                     last = rank
             if inner[child]:
                 going.append((start, child))
-        held += bytes((byte,))
-        lasts += (last,)
+        lasts = [*lasts, last]
         # The next token may begin behind this one, or is one of those that go on: step back
         # from all their begins, token by token, to where their paths meet.
-        end = common = len(held)
+        end = common = len(lasts)
         sizes = self.sizes
         for start, _ in reversed(going):
             while common != start:
@@ -205,21 +212,30 @@ class Transducer:
                     start -= sizes[lasts[start - 1]]
         going.append((end, 0))
         out = self.path(lasts, common) if common else ()
-        if out:
+        # Only the tokens on these paths are asked for again, and the one that was emitted
+        # last only where a token begins behind it.
+        kept = [NO_TOKEN] * (end - common)
+        for start, _ in going:
+            while start > common and kept[start - common - 1] == NO_TOKEN:
+                kept[start - common - 1] = token = lasts[start - 1]
+                start -= sizes[token]
+        if going[0][0] > common:
+            before = NO_TOKEN
+        elif out:
             before = out[-1]
-            held, lasts = held[common:], lasts[common:]
+        if common:
             going = [(start - common, node) for start, node in going]
-        step = self.moves[state << 8 | byte] = self._number(before, held, lasts, tuple(going)), out
+        following = self._number((before, tuple(kept), tuple(going))) << 8
+        step = self.moves[state | byte] = following, out
         return step
 
-    def _number(self, before: int, held: bytes, lasts: tuple, going: tuple) -> int:
-        key = (before, held)
-        if key not in self.numbers:
-            self.numbers[key] = len(self.states)
-            self.states.append((before, held, lasts, going))
-        return self.numbers[key]
+    def _number(self, state: tuple) -> int:
+        number = self.numbers.setdefault(state, len(self.states))
+        if number == len(self.states):
+            self.states.append(state)
+        return number
 
-    def path(self, lasts: tuple[int, ...], end: int) -> tuple[int, ...]:
+    def path(self, lasts: Sequence[int], end: int) -> tuple[int, ...]:
         """Tokens of the prefix that ends here."""
         out = []
         while end:
@@ -233,14 +249,13 @@ class Transducer:
         if whole is not None:
             return [whole]
         out: list[int] = []
-        state = 0
+        state, known = 0, self.moves.get
         for byte in piece:
-            step = self.moves.get(state << 8 | byte) or self.move(state, byte)
-            state = step[0]
-            if step[1]:
-                out += step[1]
+            state, final = known(state | byte) or self.move(state, byte)
+            if final:
+                out += final
         if state not in self.ends:
-            lasts = self.states[state][2]
+            lasts = self.states[state >> 8][1]
             self.ends[state] = self.path(lasts, len(lasts))
         out += self.ends[state]
         return out
@@ -300,13 +315,12 @@ class Codec:
 
     def _encoded(self, pieces: list[str]) -> bytes:
         known = self.pieces
-        try:
-            return b"".join([known[p] for p in pieces])
-        except KeyError:
-            pass
-        out = []
-        for piece in pieces:
-            ids = known.get(piece)
+        out = [*map(known.get, pieces)]
+        at = -1
+        for _ in range(out.count(None)):
+            at = out.index(None, at + 1)
+            piece = pieces[at]
+            ids = known.get(piece)  # it may have come before in this text
             if ids is None:
                 encoded = self.transducer.encode(piece.encode("utf-8", "replace"))
                 ids = struct.pack(f"<{len(encoded)}I", *encoded)
@@ -314,7 +328,7 @@ class Codec:
                     if len(known) >= self.most:
                         known.clear()
                     known[piece] = ids
-            out.append(ids)
+            out[at] = ids
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:

@@ -333,6 +333,30 @@ def test_transducer_equals_merges(rows):
         assert "".join(codec.decode(ids)) == text
 
 
+def test_prefixes_that_later_tokens_cannot_tell_apart_are_one_state():
+    tokens = [bytes([x]) for x in b"abpqrs"] + [b"pq", b"rs", b"qrs"]
+    ranks = {token: i for i, token in enumerate(tokens)}
+    transducer = bpe.Transducer(ranks)
+
+    def steps(piece: bytes) -> int:
+        before = len(transducer.moves)
+        assert transducer.encode(piece) == [ranks[x] for x in bpe.merge_bytes(piece, ranks)]
+        return len(transducer.moves) - before
+
+    assert steps(b"apqrs") == 5
+    # Behind "apq" and "bpq" the same tokens have begun, with the same tokens in front.
+    assert steps(b"bpqrs") == 3
+
+
+def test_transducer_starts_anew_with_any_table_size(rows):
+    ranks = bpe.load_ranks(RANKS)
+    small, large = bpe.Transducer(ranks, 50), bpe.Transducer(ranks)
+    for text in [r["text"] or "" for r in rows][:40]:
+        piece = text.encode()[:400]
+        assert small.encode(piece) == large.encode(piece)
+        assert len(small.moves) <= 50 and len(small.pairs) <= 50
+
+
 def test_utf8_stream_holds_back_what_has_begun():
     text = "aé日\U0001f600z"
     stream, out = bpe.Utf8Stream(), []
