@@ -218,8 +218,8 @@ def class_prefixes(docs: DataFrame, levels: np.ndarray, rule: Similarity) -> Dat
 
 
 def other_orders(docs: DataFrame, levels: np.ndarray, rule: Similarity) -> DataFrame:
-    """``(node, size, second, third)`` of ``(node, body)``: 32 bits of the first tokens under
-    the second order, and of a longer prefix under the third."""
+    """``(node, body, size, second, third)`` of ``(node, body)``: 32 bits of the first tokens
+    under the second order, and 16 of a longer prefix under the third."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,15 +233,15 @@ def other_orders(docs: DataFrame, levels: np.ndarray, rule: Similarity) -> DataF
                 part = smallest(tokens, order_key(tokens, levels, 1), rule.prefix(n))
                 second.append(part.view(np.int64).astype(np.int32))
                 part = smallest(tokens, order_key(tokens, levels, 2), rule.longer(n))
-                third.append(part.view(np.int64).astype(np.int32))
+                third.append(part.view(np.int64).astype(np.int16))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(sizes, pa.int64())]
-                + [pa.array(x, pa.list_(pa.int32())) for x in (second, third)],
-                names=["node", "size", "second", "third"],
+                [batch.column("node"), batch.column("body"), pa.array(sizes, pa.int64())]
+                + [pa.array(second, pa.list_(pa.int32())), pa.array(third, pa.list_(pa.int16()))],
+                names=["node", "body", "size", "second", "third"],
             )
 
     return docs.select("node", "body").mapInArrow(
-        run, "node long, size long, second array<int>, third array<int>"
+        run, "node long, body binary, size long, second array<int>, third array<short>"
     )
 
 
@@ -254,7 +254,7 @@ def orders_agree(rule: Similarity) -> Column:
     """Whether the prefixes of a pair, ``one`` and ``two``, allow it to link.
 
     With at least ``least`` tokens in common, prefixes of ``size - least + k`` tokens share k.
-    Of tokens whose 32 bits are equal one is lost to the count, and is added again.
+    Of tokens whose 16 bits are equal one is lost to the count, and is added again.
     """
     one, two = F.col("one"), F.col("two")
     least = least_overlap(rule, one["size"], two["size"])
@@ -293,16 +293,16 @@ def _links(pairs: DataFrame, rule: Similarity) -> DataFrame:
 
 @dataclass
 class _Join:
-    """The tables of one join: ``docs(key, body)``; ``shared(token, node, left, size, rank)``
-    where ``left`` counts the class's tokens from this one on; the sketch; by class the key
-    of one of its texts."""
+    """The tables of one join: ``docs(place, body)``; ``shared(token, node, left, size, rank)``
+    where ``left`` counts the class's tokens from this one on; the sketch; by class the place
+    of one of its rows: 64 bits of id and key."""
 
     ws: Workspace
     rule: Similarity
     docs: DataFrame
     shared: DataFrame
     levels: np.ndarray
-    keys: DataFrame
+    places: DataFrame
 
     def labelled(self, labels: DataFrame | None) -> DataFrame:
         """Shared tokens with each class's component, without those inside one component."""
@@ -345,13 +345,19 @@ class _Join:
         )
 
     def texts(self, pairs: DataFrame) -> DataFrame:
-        """``(node, body)``: one text of each class in the pairs."""
+        """``(node, body, size, second, third)``: one text of each class in the pairs, and its
+        first tokens. Rows, not texts, are chosen: only where such a row repeats are texts
+        moved to leave one."""
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        chosen = self.ws.save(self.keys.join(nodes, "node"), "chosen")
-        if chosen.count() <= BROADCAST_ROWS:
+        chosen = self.ws.save(self.places.join(nodes, "node"), "chosen")
+        classes = chosen.count()
+        if classes <= BROADCAST_ROWS:
             chosen = F.broadcast(chosen)
-        found = self.docs.join(chosen, "key").dropDuplicates(["node"])
-        return self.ws.save(found.select("node", "body"), "texts")
+        found = self.docs.join(chosen, "place").select("node", "body")
+        texts = self.ws.save(other_orders(found, self.levels, self.rule), "texts")
+        if texts.count() == classes:
+            return texts
+        return self.ws.save(texts.dropDuplicates(["node"]), "texts")
 
     def test(self, pairs: DataFrame, tested: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         """New links among the pairs, and all pairs tested so far."""
@@ -360,10 +366,9 @@ class _Join:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = self.ws.save(pairs, "pairs")
         texts = self.texts(pairs)
-        others = self.ws.save(other_orders(texts, self.levels, self.rule), "others")
         sides = F.struct("size", "second", "third")
-        one = others.select(F.col("node").alias("a"), sides.alias("one"))
-        two = others.select(F.col("node").alias("b"), sides.alias("two"))
+        one = texts.select(F.col("node").alias("a"), sides.alias("one"))
+        two = texts.select(F.col("node").alias("b"), sides.alias("two"))
         near = pairs.join(one, "a").join(two, "b").where(orders_agree(self.rule))
         near = self.ws.save(near.select("a", "b"), "candidates")
         left = texts.select(F.col("node").alias("a"), F.col("body").alias("text_a"))
@@ -400,17 +405,19 @@ def near_duplicates(ws: Workspace, docs: DataFrame, rule: Similarity) -> DataFra
     shared = ws.save(shared.join(ws.save(several.select("token"), "several"), "token"), "shared")
     # The fewer tokens of its own a class has, the more central it is.
     own = ws.save(shared.groupBy("node").agg(F.count("*").alias("n_shared")), "own")
-    sizes = sets.groupBy("node").agg(F.min("n").alias("size"), F.min("key").alias("key"))
+    place = F.xxhash64("doc_id", "key").alias("place")
+    sizes = sets.groupBy("node").agg(F.min("n").alias("size"), F.min(place).alias("place"))
     prefix = F.col("size") - F.ceil(F.col("size") * rule.percent / 100) + 1
     alone = F.least(F.floor(1000 * (1 - F.col("n_shared") / prefix)), F.lit(1000))
     rank = F.greatest(alone, F.lit(0)).cast("long") * (1 << 50) + F.shiftrightunsigned("node", 14)
     ranked = ws.save(
-        own.join(sizes, "node").select("node", "size", "key", rank.alias("rank")), "ranked"
+        own.join(sizes, "node").select("node", "size", "place", rank.alias("rank")), "ranked"
     )
     left = (F.col("size") - F.col("place")).alias("left")
-    shared = shared.join(ranked, "node").select("token", "node", left, "size", "rank")
+    shared = shared.join(ranked.drop("place"), "node").select("token", "node", left, "size", "rank")
     shared = ws.save(shared, "shared")
-    join = _Join(ws, rule, keyed.select("key", "body"), shared, levels, ranked.select("node", "key"))
+    docs = keyed.select(place, "body")
+    join = _Join(ws, rule, docs, shared, levels, ranked.select("node", "place"))
     links = labels = tested = None
     rows = join.labelled(None)
     classes = ranked.count()

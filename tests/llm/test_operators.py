@@ -151,6 +151,19 @@ def test_shuffled_texts_give_the_same_classes(ws, docs, rows, monkeypatch):
     assert op2(ws, docs) == sorted(brute.op2(rows), key=str)
 
 
+def test_texts_of_pairs_are_chosen_where_they_lie(ws, docs, rows, monkeypatch):
+    saved, save = [], ws.save
+
+    def noted(df, name):
+        if name == "texts":
+            saved.append(df._jdf.queryExecution().executedPlan().toString())
+        return save(df, name)
+
+    monkeypatch.setattr(ws, "save", noted)
+    assert op2(ws, docs) == sorted(brute.op2(rows), key=str)
+    assert saved and not any("hashpartitioning" in plan for plan in saved)
+
+
 def test_one_document_of_each_group_stays(ws, awkward):
     rule = jaccard.Similarity(5, 80)
     kept = jaccard.keep_firsts(ws, awkward, rule)
