@@ -23,13 +23,10 @@ import base64
 import gc
 import hashlib
 import struct
-import sys
-import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import islice
 from pathlib import Path
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +34,12 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
+from linkrank.llm.text import stretches
+
 # Ids that decoding handles at a time; pieces that encoding handles at a time.
 STRETCH = 65_536
 # Characters from which on pieces are not listed all at once.
 LONG_TEXT = 1_000_000
-# Characters of texts that are encoded before their ids are handed on.
-SLICE_CHARS = 1_000_000
 
 NO_TOKEN = -1
 
@@ -57,10 +54,6 @@ class Tables:
     pieces: int = 200_000
 
 
-# Under this name a worker process keeps its codec from one task to the next.
-KEPT = "_linkrank_codec"
-
-
 def load_ranks(path: str | Path) -> dict[bytes, int]:
     """Ranks of a tiktoken file: one base64 token and its rank a line."""
     with open(path, "rb") as lines:
@@ -348,23 +341,12 @@ class Codec:
         yield stream.close()
 
 
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    """Texts in turn, not many characters at a time, and where each slice starts."""
-    at = 0
-    while at < len(texts):
-        begun, size, part = at, 0, []
-        while at < len(texts) and size < SLICE_CHARS:
-            part.append(texts[at] or "")
-            size += len(part[-1])
-            at += 1
-        yield begun, part
-
-
-def _codec(key: str, pattern: str, tables: Tables, ranks: Broadcast) -> Codec:
-    """The codec of this worker process: what it learns serves all tasks of one call."""
-    kept = sys.modules.setdefault(KEPT, ModuleType(KEPT)).__dict__
-    if kept.get("key") != key:
-        kept["codec"], kept["key"] = Codec(ranks.value, pattern, tables), key
+def _codec(shared: Broadcast, pattern: str, tables: Tables) -> Codec:
+    """The codec of this worker process, kept in what it has of the broadcast: so it serves all
+    tasks of one call, and goes as soon as the worker gets a task that is not of this call."""
+    kept = shared.value
+    if "codec" not in kept:
+        kept["codec"] = Codec(kept["ranks"], pattern, tables)
     return kept["codec"]
 
 
@@ -378,8 +360,7 @@ def bpe_ids(
     ignored, rows stay as many as they are. The ranks are the vocabulary file's, a few MB
     whatever the table; they are broadcast.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
-    call = uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast({"ranks": load_ranks(ranks_path)})
 
     def digest_of(codec: Codec, ids: bytes) -> str:
         digest = hashlib.sha256()
@@ -388,23 +369,21 @@ def bpe_ids(
         return digest.hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(call, pattern, tables, ranks)
+        codec = _codec(shared, pattern, tables)
         gc.disable()  # the tables hold no cycles: to walk them again and again finds nothing
         try:
-            for batch in batches:
-                doc_ids = batch.column("doc_id").cast(pa.int64())
-                for at, texts in _slices(batch.column("text").to_pylist()):
-                    ids = [codec.encode(t) for t in texts]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            doc_ids.slice(at, len(ids)),
-                            pa.array(ids, pa.binary()),
-                            pa.array([len(x) // 4 for x in ids], pa.int64()),
-                            pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                            pa.array([digest_of(codec, x) for x in ids], pa.string()),
-                        ],
-                        names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
-                    )
+            for part in (part for batch in batches for part in stretches(batch, "text")):
+                ids = [codec.encode(t or "") for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id").cast(pa.int64()),
+                        pa.array(ids, pa.binary()),
+                        pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                        pa.array([digest_of(codec, x) for x in ids], pa.string()),
+                    ],
+                    names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
         finally:
             gc.enable()
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from linkrank.llm.components import components
-from linkrank.llm.text import packed, text_key, unpacked, whole_text
+from linkrank.llm.text import packed, stretches, text_key, unpacked, whole_text
 from linkrank.plans.workspace import Workspace
 
 # Counters of the sketch that orders tokens: 8 MB, whatever the table.
@@ -104,19 +104,18 @@ def document_sets(docs: DataFrame, rule: Similarity) -> DataFrame:
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         names = ["doc_id", "key", "n", "node", "digest", "block", "counts"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
-        for batch in batches:
+        for part in (part for batch in batches for part in stretches(batch, "body")):
             sizes, nodes, digests, held = [], [], [], []
-            for body in batch.column("body").to_pylist():
+            for body in part.column("body").to_pylist():
                 tokens = shingles(split_words(body), rule.words, known)
                 node, digest = _class_of(tokens)
                 sizes.append(len(tokens))
                 nodes.append(node)
                 digests.append(digest)
                 held.append((tokens >> shift).astype(np.int32))
-            if held:
-                np.add.at(sketch, np.concatenate(held), 1)
+            np.add.at(sketch, np.concatenate(held), 1)
             none = pa.nulls(len(sizes))
-            columns = [batch.column("doc_id"), batch.column("key"), sizes, nodes, digests, none, none]
+            columns = [part.column("doc_id"), part.column("key"), sizes, nodes, digests, none, none]
             arrays = [pa.array(c, t) if isinstance(c, list) else c.cast(t) for c, t in zip(columns, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
         blocks = [
@@ -196,9 +195,9 @@ def class_prefixes(docs: DataFrame, levels: np.ndarray, rule: Similarity) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, levels, seen = _Words(), shared.value, set()
-        for batch in batches:
+        for texts in (part for batch in batches for part in stretches(batch, "body")):
             nodes, first = [], []
-            for body in batch.column("body").to_pylist():
+            for body in texts.column("body").to_pylist():
                 tokens = shingles(split_words(body), rule.words, known)
                 node, _ = _class_of(tokens)
                 if not len(tokens) or node in seen:
@@ -224,9 +223,9 @@ def other_orders(docs: DataFrame, levels: np.ndarray, rule: Similarity) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, levels = _Words(), shared.value
-        for batch in batches:
+        for texts in (part for batch in batches for part in stretches(batch, "body")):
             sizes, second, third = [], [], []
-            for body in batch.column("body").to_pylist():
+            for body in texts.column("body").to_pylist():
                 tokens = shingles(split_words(body), rule.words, known)
                 n = len(tokens)
                 sizes.append(n)
@@ -235,7 +234,7 @@ def other_orders(docs: DataFrame, levels: np.ndarray, rule: Similarity) -> DataF
                 part = smallest(tokens, order_key(tokens, levels, 2), rule.longer(n))
                 third.append(part.view(np.int64).astype(np.int16))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("body"), pa.array(sizes, pa.int64())]
+                [texts.column("node"), texts.column("body"), pa.array(sizes, pa.int64())]
                 + [pa.array(second, pa.list_(pa.int32())), pa.array(third, pa.list_(pa.int16()))],
                 names=["node", "body", "size", "second", "third"],
             )
@@ -276,17 +275,16 @@ def _links(pairs: DataFrame, rule: Similarity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, set()
-        for batch in batches:
+        for part in (p for batch in batches for p in stretches(batch, "text_a", "text_b")):
             keep = []
-            columns = (batch.column(c).to_pylist() for c in ("a", "text_a", "text_b"))
+            columns = (part.column(c).to_pylist() for c in ("a", "text_a", "text_b"))
             for a, text_a, text_b in zip(*columns, strict=True):
                 if a != last or last is None:
                     last, left = a, shingle_set(text_a)
                 right = shingle_set(text_b)
                 both = len(left & right)
                 keep.append(100 * both >= rule.percent * (len(left) + len(right) - both))
-            kept = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-            yield kept
+            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from linkrank.llm.text import stretches
+
 # The sample of one language: so many labelled rows, a window of so many characters of each. An automaton
 # has fewer than twice as many states as characters.
 SAMPLE_ROWS = 64
@@ -31,7 +33,6 @@ BROADCAST_LANGUAGES = 10_000
 TABLE_CELLS = 1 << 22
 # Texts are parsed in blocks of so many characters, all blocks of a stretch side by side.
 BLOCK = 512
-STRETCH_CHARS = 1_000_000
 UNKNOWN = "und"
 
 # Classes of characters: a letter of none of the samples; anything between letters.
@@ -260,23 +261,12 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = cloudpickle.loads(shared.value)
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            names: list[str] = []
-            scores: list[float] = []
-            at = 0
-            while at < len(texts):
-                size, end = 0, at
-                while end < len(texts) and size < STRETCH_CHARS:
-                    size += len(texts[end] or "")
-                    end += 1
-                found = model.predict(texts[at:end])
-                names += found[0]
-                scores += found[1]
-                at = end
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, lang, score],
-            )
+            for part in stretches(batch, "text"):
+                names, scores = model.predict(part.column(place).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                    names=[*part.schema.names, lang, score],
+                )
 
     added = [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
